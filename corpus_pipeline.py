@@ -1,22 +1,46 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences: quality rules, near-duplicates, repeated passages, packing.
+
+Each stage works on all rows that the one before kept and returns the columns it got; the last one returns
+the pieces of packed sequences."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pointstream.llm import packing
+from pointstream.llm import near, packing, repeats, rules
 from pointstream.llm.chunks import vocabulary
 from pointstream.llm.common import shared_folder, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return rules.judge(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the smallest id of each group of near-duplicates."""
+    kept = near.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that stand earlier, n_chars as they are now; documents of which nothing is left go."""
+    found = repeats.remove_repeats(docs, characters=True).select(F.col("doc_id").alias("cut_id"), "text_md5", F.col("kept").cast("string").alias("cut")).distinct()
+    same = docs["doc_id"].eqNullSafe(found["cut_id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == found["text_md5"])
+    new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
+    return docs.join(found, same).where("cut <> ''").select(*(new[c].alias(c) if c in new else docs[c] for c in docs.columns))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: all that is left, as pieces of sequences of 2048 tokens."""
+    """All that is left, as pieces of sequences of 2048 tokens."""
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [("quality rules", quality), ("near-duplicates", near_duplicates), ("repeated passages", repeated_passages), ("best-fit packing", pack)]
+#: No SQL says these stages on whole tables; tests hold the result against brute force.
 ORACLE_SQL = None
 
 

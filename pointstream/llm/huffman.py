@@ -25,7 +25,7 @@ from .common import batch, checkpoint, id_out, pack_arrays, parts, texts, unpack
 MAGIC = b"TOKHUF01"
 LONGEST = 17
 BLOCK_IDS = 1024
-SHARD_DOCS = 4096
+SHARD_DOCS = 2048
 #: Shard of the rows that carry counts.
 COUNTS = -1
 
@@ -179,7 +179,7 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, bounds: np.ndarray
                 a.append(doc)
                 b.append(tokens)
                 size += len(tokens)
-            if size > 32 << 20:
+            if size > 16 << 20:
                 yield from flush()
                 held, size = {}, 0
         yield from flush()
