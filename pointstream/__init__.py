@@ -1,0 +1 @@
+"""pointstream: time-series recovery and delivery on Spark."""
