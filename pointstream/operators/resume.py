@@ -25,7 +25,7 @@ def summary(acks: DataFrame, done: DataFrame) -> DataFrame:
     started = acks.select(*LEDGER_KEY).distinct().agg(F.count("*").alias("started"))
     ended = done.agg(F.count("*").alias("done"))
     sent = acks.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-    return started.join(ended).join(sent)  # one row each
+    return started.crossJoin(ended).crossJoin(sent)  # of one row each
 
 
 def without_done(shards: DataFrame, done: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ A change of configuration or input files would cut chunks elsewhere, so a ledger
 from __future__ import annotations
 
 import sqlite3
+import threading
 import time
 
 
@@ -22,6 +23,7 @@ CREATE TABLE IF NOT EXISTS meta (key TEXT PRIMARY KEY, value TEXT NOT NULL);
 class Ledger:
     def __init__(self, path: str):
         self.db = sqlite3.connect(path, timeout=5, isolation_level=None, check_same_thread=False)
+        self.lock = threading.RLock()  # threads share prepared statements
         self.db.execute("PRAGMA journal_mode=WAL")
         self.db.execute("PRAGMA synchronous=FULL")
         self.db.executescript(TABLES)
@@ -45,24 +47,28 @@ class Ledger:
             raise Changed(f"the ledger was begun with other settings: {', '.join(differ)} (chunk size, time range, precision, renames or input files)")
 
     def committed(self, source: str, shard: str) -> int:
-        row = self.db.execute("SELECT committed_seq FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
+        with self.lock:
+            row = self.db.execute("SELECT committed_seq FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
         return row[0] if row else -1
 
     def is_done(self, source: str, shard: str) -> bool:
-        return self.db.execute("SELECT 1 FROM shard_done WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone() is not None
+        with self.lock:
+            return self.db.execute("SELECT 1 FROM shard_done WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone() is not None
 
     def commit(self, source: str, shard: str, seq: int, rows: int) -> None:
         """Never goes back; rows add up."""
-        self.db.execute(
-            "INSERT INTO shard_progress VALUES (?, ?, ?, ?, ?) ON CONFLICT DO UPDATE SET"
-            " committed_seq = max(committed_seq, excluded.committed_seq), rows_sent = rows_sent + excluded.rows_sent, updated_at = excluded.updated_at",
-            (source, shard, seq, rows, time.time()),
-        )
+        with self.lock:
+            self.db.execute(
+                "INSERT INTO shard_progress VALUES (?, ?, ?, ?, ?) ON CONFLICT DO UPDATE SET"
+                " committed_seq = max(committed_seq, excluded.committed_seq), rows_sent = rows_sent + excluded.rows_sent, updated_at = excluded.updated_at",
+                (source, shard, seq, rows, time.time()),
+            )
 
     def finish(self, source: str, shard: str, chunks: int) -> None:
         """Rows of all runs, not of the last alone."""
-        row = self.db.execute("SELECT rows_sent FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
-        self.db.execute("INSERT OR REPLACE INTO shard_done VALUES (?, ?, ?, ?, ?)", (source, shard, chunks, row[0] if row else 0, time.time()))
+        with self.lock:
+            row = self.db.execute("SELECT rows_sent FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
+            self.db.execute("INSERT OR REPLACE INTO shard_done VALUES (?, ?, ?, ?, ?)", (source, shard, chunks, row[0] if row else 0, time.time()))
 
     def rewind(self, source: str, shard: str, seq: int) -> None:
         """For tests: as if acknowledgements after ``seq`` had been lost."""

@@ -1,6 +1,8 @@
-"""The tables of raw values: files come through Spark's own binary reader, so any store it reads will do.
+"""The tables of raw values.
 
-Each file is one task's work at least; rows leave in Arrow batches with an order that later stages can sort by."""
+A task opens its files itself, from a folder that all executors see: Spark's own readers leave out names that
+begin with an underscore, as those of logs do.  Rows leave in Arrow batches with an order that later stages
+can sort by."""
 
 from __future__ import annotations
 
@@ -70,11 +72,8 @@ def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int
     listing = [(s.source_id, s.database, s.retention, s.shard_id, src, k, f) for s in shards for src, own in ((TSM, s.tsm_files), (WAL, s.wal_files)) for k, f in enumerate(own)]
     if not listing:
         return spark.createDataFrame([], RAW)
-    names = spark.createDataFrame(listing, "source_id string, database string, retention string, shard_id string, src tinyint, file_seq int, path string")
+    names = spark.createDataFrame(listing, "source_id string, database string, retention string, shard_id string, src tinyint, file_seq int, path string").repartition(len(listing))
     schema = to_arrow_schema(RAW)
-    content = spark.read.format("binaryFile").load([r[-1] for r in listing]).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
-    rows = content.join(F.broadcast(names), "path")
-
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
@@ -82,8 +81,10 @@ def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int
                 shard = {c: r[c] for c in ("source_id", "database", "retention", "shard_id")}
                 reader = _tsm_rows if r["src"] == TSM else _wal_rows
                 try:
-                    yield from reader(schema, shard, r["file_seq"], r["content"], start, end, check)
+                    with open(r["path"], "rb") as f:
+                        data = f.read()
+                    yield from reader(schema, shard, r["file_seq"], data, start, end, check)
                 except Damaged as e:
                     raise Damaged(f"{r['path']}: {e}") from e
 
-    return rows.mapInArrow(decode, RAW).where(F.col("ts_ns").between(start, end))
+    return names.mapInArrow(decode, RAW).where(F.col("ts_ns").between(start, end))
