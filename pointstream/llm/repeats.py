@@ -27,7 +27,7 @@ from .windows import runs_within, sliding_min
 LEAST = 100
 GRAM = 24
 #: Bytes whose suffixes are sorted together, unless one minimiser's segments have more.
-SORTED = 400_000
+SORTED = 1_000_000
 _LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _POWER = 0x9E3779B97F4A7C15
 
@@ -159,7 +159,7 @@ def suffix_array(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     of = np.repeat(np.arange(len(strings)), lengths)
     left = np.cumsum(lengths)[of] - np.arange(len(flat))
     n = len(flat)
-    rank, span, levels = flat.astype(np.int64) + 1, 1, []
+    rank, span, levels = flat.astype(np.int32) + 1, 1, []
     order = np.argsort(rank, kind="stable")
     longest = int(lengths.max(initial=0))
     while True:
@@ -169,10 +169,10 @@ def suffix_array(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
         after = np.zeros(n, np.int64)  # 0: the string ends before
         inside = np.flatnonzero(left > span)
         after[inside] = rank[inside + span]
-        key = rank * (n + 258) + after
+        key = rank.astype(np.int64) * (n + 258) + after
         order = np.argsort(key, kind="stable")
         ordered = key[order]
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.int32)
         rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]]))
         span *= 2
         if rank[order[-1]] == n:
@@ -230,23 +230,53 @@ def maximal_repeats(strings: list[bytes], least: int = LEAST) -> list[tuple[byte
     return found
 
 
+def repeated_runs(strings: list[bytes], least: int) -> list[tuple[int, int, int]]:
+    """(string, from, to) of all maximal runs of windows of ``least`` bytes whose hash occurs again; the rest repeats nothing."""
+    flat = np.frombuffer(b"".join(strings), np.uint8)
+    ends = np.cumsum([len(s) for s in strings])
+    of = np.repeat(np.arange(len(strings), dtype=np.int32), [len(s) for s in strings])
+    hashes = gram_hashes(flat, least)
+    at = np.flatnonzero(of[: len(hashes)] == of[least - 1 :])
+    hashes, order = hashes[at], np.argsort(hashes[at], kind="stable")
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    again = np.zeros(len(at), bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    at = at[again]
+    if not len(at):
+        return []
+    heads = np.concatenate([[0], np.flatnonzero((at[1:] != at[:-1] + 1) | (of[at[1:]] != of[at[:-1]])) + 1])
+    first, last = at[heads], at[np.concatenate([heads[1:], [len(at)]]) - 1]
+    string = of[first]
+    begin = ends[string] - np.asarray([len(s) for s in strings])[string]
+    return list(zip(string.tolist(), (first - begin).tolist(), (last - begin + least).tolist()))
+
+
 def later_spans(strings: list[bytes], places: list[tuple[int, int]], least: int) -> list[list[tuple[int, int]]]:
     """For each string, spans that an earlier occurrence of a maximal repeat covers; string k starts at ``places[k]``.
 
     Goes through the tree once: when a node closes, the firsts of its children other than its own first get
     its length, so each suffix gets the longest repeat in which it isn't first."""
-    order, common, of, _ = suffix_array(strings)
+    order, common, of, left = suffix_array(strings)
     first = np.cumsum([0, *map(len, strings)])
-    doc, start = np.asarray(places, np.int64).T
-    when = list(zip(doc[of[order]].tolist(), (start[of[order]] + order - first[of[order]]).tolist()))
+    # suffixes too short for a repeat go; what they stood between has no common prefix that counts
+    kept = np.flatnonzero(left[order] >= least)
+    common = np.where(np.diff(kept, prepend=-2) == 1, common[kept], 0)
+    order = order[kept]
+    text = of[order]
+    offset = order - first[text]
+    doc, start = np.asarray(places, np.int64).reshape(-1, 2).T
+    doc, start = doc[text], start[text] + offset
+    by = np.lexsort((start, doc))
+    when = np.empty(len(order), np.int64)
+    when[by] = np.cumsum(np.concatenate([[0], (np.diff(doc[by]) != 0) | (np.diff(start[by]) != 0)])[: len(by)])
+    when, text, offset = when.tolist(), text.tolist(), offset.tolist()
     spans: list[list[tuple[int, int]]] = [[] for _ in strings]
     values = common.tolist()
     values.append(0)
-    position, text = order.tolist(), of[order].tolist()
 
     def give(i: int, size: int) -> None:
-        at = int(position[i] - first[text[i]])
-        spans[text[i]].append((at, at + size))
+        spans[text[i]].append((offset[i], offset[i] + size))
 
     stack: list[list[int]] = []  # bytes, rank of the first occurrence so far
     for i in range(1, len(values)):
@@ -271,6 +301,25 @@ def later_spans(strings: list[bytes], places: list[tuple[int, int]], least: int)
     return spans
 
 
+def spans_in(strings: list[bytes], places: list[tuple[int, int]], least: int) -> list[list[tuple[int, int]]]:
+    """``later_spans`` of strings of which most repeat nothing: only their repeated runs, each distinct one once, are sorted."""
+    spans: list[list[tuple[int, int]]] = [[] for _ in strings]
+    runs: dict[bytes, list[tuple[int, int, int, int, int]]] = {}
+    for k, a, b in repeated_runs(strings, least):
+        runs.setdefault(strings[k][a:b], []).append((places[k][0], places[k][1] + a, k, a, b))
+    for own in runs.values():
+        lead = min(own)
+        for doc, start, k, a, b in own:
+            if (doc, start) != lead[:2]:
+                spans[k].append((a, b))
+    for found, own in zip(later_spans(list(runs), [min(o)[:2] for o in runs.values()], least) if runs else [], runs.values()):
+        doc, start = min(own)[:2]
+        for d, s, k, a, _ in own:
+            if (d, s) == (doc, start):
+                spans[k] += [(a + x, a + y) for x, y in found]
+    return spans
+
+
 def reply(least: int):
     """For each block, spans of its segments (number, from, to) that start earlier elsewhere."""
 
@@ -288,7 +337,7 @@ def reply(least: int):
         size = 0
 
         def search():
-            for spans, (doc, start, _, _), string in zip(later_spans(held, [f[:2] for f in firsts], least), firsts, held):
+            for spans, (doc, start, _, _), string in zip(spans_in(held, [f[:2] for f in firsts], least), firsts, held):
                 for a, b in spans:
                     for d, s, k, number in at_first[string]:
                         if (d, s) == (doc, start):
