@@ -91,7 +91,7 @@ def parts(batches: Iterator[pa.RecordBatch], most: int = PART_BYTES) -> Iterator
 
 def to_blob(ids: list[int], raw: list[bytes]) -> bytes:
     head = struct.pack("<q", len(ids)) + np.asarray(ids, "<i8").tobytes() + np.asarray([len(x) for x in raw], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(raw))
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(raw))
 
 
 def from_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -178,7 +178,7 @@ def pack_arrays(*arrays: np.ndarray) -> bytes:
     for a in arrays:
         a = np.ascontiguousarray(a)
         out += [struct.pack("<4sq", a.dtype.str.encode().ljust(4), len(a)), a.tobytes()]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(out))
 
 
 def unpack_arrays(payload: bytes) -> list[np.ndarray]:

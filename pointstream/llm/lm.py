@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ ORDER = 5
 END = 10
 #: Text bytes whose strings are worked on together.
 PIECE = 1 << 20
-GRAMS, WORDS, SHORT = 0, 1, 2
-#: Bucket of the counts of short contexts; block of the words' totals.
+GRAMS, WORDS = 0, 1
+#: Block of the words' totals.
 EVERYWHERE = -1
 
 
@@ -73,33 +74,57 @@ class Block:
         found, counts = [], []
         for a, b, grams, starts in self.pieces():
             learnt = np.repeat(self.trains[a:b], np.diff(np.concatenate([starts, [len(grams)]])))
-            every = np.unique(grams)
-            some, n = np.unique(grams[learnt], return_counts=True)
-            own = np.zeros(len(every), np.int64)
-            own[np.searchsorted(every, some)] = n
-            found.append(every)
-            counts.append(own)
+            keys = np.sort(grams << np.uint64(1) | learnt)  # sorted once, the flag in the lowest bit
+            grams = keys >> np.uint64(1)
+            heads = _heads(grams)
+            found.append(grams[heads])
+            counts.append(np.add.reduceat((keys & np.uint64(1)).astype(np.int64), heads))
         return merged(np.concatenate(found), np.concatenate(counts)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
-    def words(self) -> tuple[dict[bytes, int], np.ndarray]:
-        """The distinct tokens, the empty one is a document's end, and their training counts."""
-        number: dict[bytes, int] = {b"": 0}
-        for t in self.tokens:
-            for w in t:
-                if w not in number:
-                    number[w] = len(number)
-        counts = np.zeros(len(number), np.int64)
-        used = np.concatenate([np.fromiter((number[w] for w in t), np.int64, len(t)) for t, x in zip(self.tokens, self.trains.tolist()) if x] or [np.zeros(0, np.int64)])
-        counts += np.bincount(used, minlength=len(number))
+    def words(self) -> tuple[list[bytes], np.ndarray]:
+        """The distinct tokens, the first and empty one is a document's end, and which one each word is."""
+        words = list(dict.fromkeys(chain([b""], chain.from_iterable(self.tokens))))
+        number = {w: k for k, w in enumerate(words)}
+        return words, np.fromiter(map(number.__getitem__, chain.from_iterable(self.tokens)), np.int64, sum(map(len, self.tokens)))
+
+    def word_counts(self) -> tuple[list[bytes], np.ndarray]:
+        """The distinct tokens and their training counts."""
+        words, flat = self.words()
+        counts = np.bincount(flat[np.repeat(self.trains, [len(t) for t in self.tokens])], minlength=len(words))
         counts[0] = self.trains.sum()
-        return number, counts
+        return words, counts
+
+    def sums(self, logs_of) -> np.ndarray:
+        """For each document the sum over its strings of what ``logs_of`` gives for the block's distinct ones, in order."""
+        held, every = [], []
+        for a, b, grams, starts in self.pieces():
+            order = np.argsort(grams)
+            grams = grams[order]
+            heads = _heads(grams)
+            every.append(grams[heads])
+            held.append((a, b, starts, order.astype(np.int32), np.diff(np.concatenate([heads, [len(grams)]]))))
+        out = np.zeros(len(self.tokens))
+        if held:
+            grams = np.sort(np.concatenate(every))
+            grams = grams[_heads(grams)]
+            logs = logs_of(grams)
+            for (a, b, starts, order, many), own in zip(held, every):
+                each = np.empty(len(order))
+                each[order] = np.repeat(logs[np.searchsorted(grams, own)], many)
+                out[a:b] = np.add.reduceat(each, starts)
+        return out
+
+
+def _heads(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]) if len(ordered) else np.zeros(0, np.int64)
 
 
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and their sums."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    heads = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1]) if len(keys) else np.zeros(0, np.int64)
+    heads = _heads(keys)
     return keys[heads], np.add.reduceat(counts, heads) if len(heads) else counts
 
 
@@ -123,10 +148,7 @@ def send(many: int):
         for group in _groups(bucket := _gram_bucket(grams, many)):
             steps = np.diff(grams[group], prepend=np.uint64(0))
             yield int(bucket[group[0]]), bytes([GRAMS]) + pack_arrays(steps, counts[group].astype(np.uint32))
-        keys, sums = merged(grams & np.uint64(0xFFFF), counts)
-        yield EVERYWHERE, bytes([SHORT]) + pack_arrays(keys[sums > 0].astype(np.int64), sums[sums > 0])
-        number, counts = own.words()
-        words = list(number)
+        words, counts = own.word_counts()
         for group in _groups(bucket := _word_bucket(words, many)):
             some = [words[k] for k in group]
             yield int(bucket[group[0]]), bytes([WORDS]) + pack_arrays(np.asarray([len(w) for w in some], np.int32), counts[group].astype(np.uint32), np.frombuffer(b"".join(some), np.uint8), bucket[group[:1]])
@@ -213,36 +235,41 @@ def finish(many: int, total: int, distinct: int):
     def run(blob: bytes, payloads: list[bytes]) -> pa.RecordBatch:
         own = Block(blob)
         answers = [(p[0], unpack_arrays(p[1:])) for p in payloads]
-        grams, _ = own.grams()
-        logs = np.zeros(len(grams))
         by_first = {int(a[0][0]): a[1] for kind, a in answers if kind == GRAMS}
-        for group in _groups(_gram_bucket(grams, many)):
-            logs[group] = by_first[int(grams[group[0]])]
-        score = np.zeros(len(own.ids))
-        for a, b, strings, starts in own.pieces():
-            score[a:b] = np.add.reduceat(logs[np.searchsorted(grams, strings)], starts)
-        number = own.words()[0]
-        words = list(number)
+
+        def logs_of(grams: np.ndarray) -> np.ndarray:
+            logs = np.zeros(len(grams))
+            for group in _groups(_gram_bucket(grams, many)):
+                logs[group] = by_first[int(grams[group[0]])]
+            return logs
+
+        score = own.sums(logs_of)
+        words, flat = own.words()
         counts = np.zeros(len(words), np.int64)
         by_bucket = {int(a[0][0]): a[1] for kind, a in answers if kind == WORDS}
         for group in _groups(bucket := _word_bucket(words, many)):
             counts[group] = by_bucket[int(bucket[group[0]])]
+        sizes = np.asarray([len(t) for t in own.tokens], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        total_of = lambda v: np.add.reduceat(np.concatenate([v[flat], [0]]), starts) * (sizes > 0)
         gain = np.log10(counts + 1.0)
-        base, known = [], []
-        for t in own.tokens:
-            at = np.fromiter(map(number.__getitem__, t), np.int64, len(t))
-            base.append(float(gain[at].sum() + gain[0] - (len(t) + 1) * np.log10(total + distinct + 1)))
-            known.append(int((counts[at] > 0).sum() + (counts[0] > 0)))
-        return batch(OUT, doc_id=own.ids, held_out=~own.trains, n_tokens=[len(t) + 1 for t in own.tokens], n_known=known, train_tokens=[total] * len(own.ids), base_score=base, score=score)
+        base = total_of(gain) + gain[0] - (sizes + 1) * np.log10(total + distinct + 1)
+        known = total_of((counts > 0).astype(np.int64)) + (counts[0] > 0)
+        return batch(OUT, doc_id=own.ids, held_out=~own.trains, n_tokens=sizes + 1, n_known=known, train_tokens=[total] * len(own.ids), base_score=base, score=score)
 
     return run
 
 
 def _pairs(batches):
+    """Training counts of pairs of neighbouring bytes, by block."""
     for b in batches:
-        for p in b.column(0):
-            keys, sums = unpack_arrays(p.as_py()[1:])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sums)], names=["pair", "n"])
+        for blob in b.column(0):
+            own, counts = Block(blob.as_py()), np.zeros(1 << 16, np.int64)
+            for first, last, grams, starts in own.pieces():
+                learnt = np.repeat(own.trains[first:last], np.diff(np.concatenate([starts, [len(grams)]])))
+                counts += np.bincount((grams[learnt] & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+            keys = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[keys])], names=["pair", "n"])
 
 
 def _totals(batches):
@@ -258,12 +285,11 @@ def score(docs: DataFrame) -> DataFrame:
     texts have the end alone.  A row without an id trains.  If nothing trains, all bytes are as likely."""
     many = buckets(docs.sparkSession)
     stored = blocks(texts(docs))
-    messages = checkpoint(scatter(stored, send(many)))
     short = np.zeros((256, 256))
-    pairs = messages.where(F.col("bucket") == EVERYWHERE).select("payload").mapInArrow(_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = stored.select("blob").mapInArrow(_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     for r in pairs.collect():  # 65,536 rows at the most
         short[r["pair"] >> 8, r["pair"] & 255] = r["n"]
-    replies = checkpoint(answer(messages.where(F.col("bucket") != EVERYWHERE), reply(short)))
+    replies = checkpoint(answer(scatter(stored, send(many)), reply(short)))
     both = replies.where(F.col("block") == EVERYWHERE).select("payload").mapInArrow(_totals, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return resolve(stored, replies.where(F.col("block") != EVERYWHERE), finish(many, both["n"] or 0, both["v"] or 0), schema).withColumn("doc_id", id_out())
