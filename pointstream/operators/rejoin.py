@@ -1,7 +1,7 @@
 """From field values to points: time range, last write wins, assembly, lines.
 
-One exchange serves both aggregations: values are grouped by (shard, series, time, field), points by a prefix
-of that; partial aggregation runs before it."""
+One exchange serves both aggregations: values dealt by (shard, series, time) are together for (shard, series,
+time, field) as well."""
 
 from __future__ import annotations
 
@@ -35,7 +35,7 @@ def last_write_wins(values: DataFrame) -> DataFrame:
 
 def points(values: DataFrame, start: int = LOWEST, end: int = HIGHEST) -> DataFrame:
     """(shard, series_key, ts_ns, fields): fields in order of their names, only those that the point has."""
-    won = last_write_wins(parsed(in_range(values, start, end)))
+    won = last_write_wins(parsed(in_range(values, start, end)).repartition(*POINT_KEY))
     entry = F.struct(F.col("field").alias("name"), F.col("value"))
     return won.groupBy(*POINT_KEY).agg(F.array_sort(F.collect_list(entry)).alias("fields"))
 
