@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pointstream.llm import near, packing, repeats, rules
 from pointstream.llm.chunks import vocabulary
-from pointstream.llm.common import shared_folder, table
+from pointstream.llm.common import LAST_ID, shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +28,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand earlier, n_chars as they are now; documents of which nothing is left go."""
-    found = repeats.remove_repeats(docs, characters=True).select(F.col("doc_id").alias("cut_id"), "text_md5", F.col("kept").cast("string").alias("cut")).distinct()
-    same = docs["doc_id"].eqNullSafe(found["cut_id"]) & (F.md5(F.coalesce(docs["text"], F.lit(""))) == found["text_md5"])
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID)).alias("key")
+    found = repeats.remove_repeats(docs, characters=True).select(key("doc_id"), "text_md5", F.col("kept").cast("string").alias("cut"))
+    # repeated rows have equal results; the new text moves once, the old one not at all
+    found = found.dropDuplicates(["key", "text_md5"])
+    others = F.struct(*(docs[c] for c in docs.columns if c not in ("text", "n_chars"))).alias("row")
+    rest = docs.select(others, key("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
-    return docs.join(found, same).where("cut <> ''").select(*(new[c].alias(c) if c in new else docs[c] for c in docs.columns))
+    joined = rest.join(found, ["key", "text_md5"]).where("cut <> ''")
+    return joined.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ OTHER_WHITE = re.compile("[\t\v-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u20
 #: A run of Latin letters and the punctuation behind: two words by the pattern.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 #: Entries of the cache in a worker; about 100 bytes each, twice that at the most.
-CACHED = 600_000
+CACHED = 450_000
 
 
 def vocabulary(name: str) -> str:

@@ -47,7 +47,7 @@ class WordHash(Generations):
         return value
 
 
-_words = WordHash(300_000)
+_words = WordHash(150_000)
 
 
 def shingle_sets(some: list[bytes], words: int = WORDS) -> list[np.ndarray]:
