@@ -2,8 +2,8 @@
 
 Candidate blocks are lines with a cue word, together with such lines next to them.  Each is compressed with
 zstandard, once plainly and once with each template as raw dictionary; templates are ranked by how much
-smaller that makes the block.  The best ones are confirmed by wording: the template's words are aligned with
-the block's, and what is missing, added or changed in between decides."""
+smaller that makes the block.  All are confirmed by wording, whatever they save: the template's words are
+aligned with the block's, and what is missing, added or changed in between decides."""
 
 from __future__ import annotations
 
@@ -74,9 +74,7 @@ class Scanner:
         spans = [m.span() for m in WORD.finditer(block)]
         words = [block[a:b].lower() for a, b in spans]
         found = []
-        for saved, name in self.ranked(block):
-            if saved <= 0:
-                break
+        for saved, name in self.ranked(block):  # the saving ranks only: coding noise can outweigh a short notice
             for first, last, missing, added in self.confirmed(self.words[name], words):
                 found.append((spans[first][0], spans[last][1], name, saved, missing, added))
         found.sort(key=lambda r: (r[0] - r[1], r[4] + r[5], r[2]))  # longer notices hide what lies inside them

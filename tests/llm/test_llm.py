@@ -327,6 +327,33 @@ def test_licenses(spark, docs_table, documents, empty):
     assert found == want
 
 
+def exact_places(text):
+    """(start, license) of every template's words in a text, by brute force."""
+    spans = [m.span() for m in licenses.WORD.finditer(text)]
+    words = [text[a:b].lower() for a, b in spans]
+    for name, template in licenses.TEMPLATES.items():
+        own = [w.lower() for w in licenses.WORD.findall(template)]
+        yield from ((spans[k][0], name) for k in range(len(words)) if words[k] == own[0] and words[k : k + len(own)] == own)
+
+
+def uncovered(rows, docs):
+    """Exact places that neither have a row nor lie inside one."""
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["license"]))
+    return [(i, a, n) for i, t in docs for a, n in exact_places(t or "") if not any((x, m) == (a, n) or x <= a < y and m != n for x, y, m in by.get(i, []))]
+
+
+def test_licenses_whatever_they_save(spark, docs_table):
+    own = random.Random(8)
+    prose = [t.replace("\n", " ") for _, t in HAND if t and len(t) > 3000][:1] + [" ".join(f"{own.choice('bcdfg')}{k} {own.choice(BASE.split())}" for k in range(400))]
+    docs = [(k, f"{p[:1900]} {t}. {p[1900:3800]}") for k, (p, t) in enumerate((p, t) for p in prose for t in licenses.TEMPLATES.values())]
+    assert uncovered(licenses.scan(docs_table(docs)).collect(), docs) == []
+    whole = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    cued = [(r["doc_id"], r["text"]) for r in whole.collect() if licenses.CUES.search(r["text"] or "")]
+    assert len(cued) > 100 and uncovered(licenses.scan(docs_table(cued)).collect(), cued) == []
+
+
 # 9: rules
 
 
