@@ -1,7 +1,7 @@
 """License notices by conditional compression.
 
-Candidate blocks are lines with a cue word, together with such lines next to them.  Each is compressed with
-zstandard, once plainly and once with each template as raw dictionary; templates are ranked by how much
+Candidate blocks are the words around cue words, as many on both sides as the longest notice has, however
+they are wrapped.  A notice that lacks its only cue word has no candidate.  Each block is compressed with zstandard, once plainly and once with each template as raw dictionary; templates are ranked by how much
 smaller that makes the block.  All are confirmed by wording, whatever they save: the template's words are
 aligned with the block's, and what is missing, added or changed in between decides."""
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import difflib
 import re
+from collections import deque
 
 import pyarrow as pa
 import zstandard
@@ -36,13 +37,15 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "all-rights-reserved": "All rights reserved",
 }
-#: Words that a candidate line has, in any case.
-CUES = re.compile(r"licen[sc]|copyright|all rights reserved|redistribut|permission (?:is|to)|free software|creative commons|\bcc[ -](?:by|0)|public domain|waived all", re.IGNORECASE)
+#: Words near which notices are looked for, in any case and with anything that is no word between them.
+CUES = re.compile(r"licen[sc]|copyright|all[\W_]+rights[\W_]+reserved|redistribut|permission[\W_]+(?:is|to)|free[\W_]+software|creative[\W_]+commons|\bcc[\W_]+(?:by|0)|public[\W_]+domain|waived[\W_]+all", re.IGNORECASE)
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
-#: Bytes of a block; longer candidates are cut into blocks that overlap by half.
+#: Characters compressed at once; longer candidates are compressed in pieces that overlap by half.
 BLOCK = 4096
 #: A notice may lack, add or change one word in ten.
 DIFFERENT = 0.1
+#: Words that a notice, or a cue and a notice, can span.
+REACH = max(int((1 + DIFFERENT) * len(WORD.findall(t))) for t in TEMPLATES.values()) + 3
 
 
 class Scanner:
@@ -67,22 +70,28 @@ class Scanner:
 
     def notices(self, block: str) -> list[tuple[int, int, str, int, int, int]]:
         """(start, end, license, bytes saved, words missing or changed, words added) of confirmed notices."""
-        try:
-            return self.kept[block]
-        except KeyError:
-            pass
+        short = len(block) <= BLOCK
+        if short:
+            try:
+                return self.kept[block]
+            except KeyError:
+                pass
         spans = [m.span() for m in WORD.finditer(block)]
         words = [block[a:b].lower() for a, b in spans]
-        found = []
-        for saved, name in self.ranked(block):  # the saving ranks only: coding noise can outweigh a short notice
+        found, step = [], BLOCK // 2
+        pieces = [{k: saved for saved, k in self.ranked(block[x : x + BLOCK])} for x in range(0, max(1, len(block) - step), step)]
+        for name in pieces[0]:  # the saving ranks only: coding noise can outweigh a short notice
             for first, last, missing, added in self.confirmed(self.words[name], words):
-                found.append((spans[first][0], spans[last][1], name, saved, missing, added))
+                start = spans[first][0]
+                found.append((start, spans[last][1], name, pieces[min(start // step, len(pieces) - 1)][name], missing, added))
         found.sort(key=lambda r: (r[0] - r[1], r[4] + r[5], r[2]))  # longer notices hide what lies inside them
         out: list[tuple[int, int, str, int, int, int]] = []
         for r in found:
             if all(r[1] <= o[0] or r[0] >= o[1] for o in out):
                 out.append(r)
-        self.kept[block] = out = sorted(out)
+        out.sort()
+        if short:
+            self.kept[block] = out
         return out
 
     def confirmed(self, template: list[str], words: list[str]) -> list[tuple[int, int, int, int]]:
@@ -115,26 +124,26 @@ def _normal(text: str) -> str:
 
 
 def candidates(text: str) -> list[tuple[int, str]]:
-    """(start, block): neighbouring lines with cues as one block, with the lines before and after a cue."""
-    if not CUES.search(text):
+    """(start, block): the words up to ``REACH`` before and after cues; what overlaps is one block."""
+    cues = (m.start() for m in CUES.finditer(text))
+    cue = next(cues, None)
+    if cue is None:
         return []
-    lines, at = [], 0
-    for line in text.split("\n"):
-        lines.append((at, line))
-        at += len(line) + 1
-    wanted = set()
-    for k, (_, line) in enumerate(lines):
-        if CUES.search(line):
-            wanted |= {k - 1, k, k + 1}  # a notice may be wrapped
-    found, run = [], []
-    for k in [*sorted(x for x in wanted if 0 <= x < len(lines)), None]:
-        if run and (k is None or k != run[-1] + 1):
-            start, end = lines[run[0]][0], lines[run[-1]][0] + len(lines[run[-1]][1])
-            found += [(x, text[x : min(end, x + BLOCK)]) for x in range(start, max(start + 1, end - BLOCK // 2), BLOCK // 2)] if end - start > BLOCK else [(start, text[start:end])]
-            run = []
-        if k is not None:
-            run.append(k)
-    return found
+    found: list[list[int]] = []
+    before, left = deque(maxlen=REACH), 0
+    for m in WORD.finditer(text):
+        start, end = m.span()
+        while cue is not None and cue < end:
+            if not left and not (found and before and before[0] < found[-1][1]):
+                found.append([before[0] if before else start, end])
+            left, cue = REACH + 1, next(cues, None)
+        before.append(start)
+        if left:
+            found[-1][1] = end
+            left -= 1
+        elif cue is None:
+            break
+    return [(a, text[a:b]) for a, b in found]
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()), ("bytes_saved", pa.int64()), ("words_missing", pa.int64()), ("words_added", pa.int64()), ("exact", pa.bool_())])

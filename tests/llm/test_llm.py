@@ -5,6 +5,7 @@ import hashlib
 import math
 import os
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -354,6 +355,22 @@ def test_licenses_whatever_they_save(spark, docs_table):
     assert len(cued) > 100 and uncovered(licenses.scan(docs_table(cued)).collect(), cued) == []
 
 
+def test_licenses_however_wrapped(spark, docs_table):
+    filler = " ".join(f"w{k}" for k in range(600))
+    docs, want = [], {}
+    for name, template in licenses.TEMPLATES.items():
+        for how, wrapped in enumerate([*(textwrap.fill(template, c, break_long_words=False) for c in range(40, 81)), *(x.join(template.split()) for x in ("\n", "\n\n", "\r\n", "\n * ", " " * 80))]):
+            for text in (wrapped, f"{filler}\n{wrapped}\n{filler}", f"{filler} {wrapped}. {filler}"):
+                want[len(docs)] = (text.index(wrapped), len(wrapped), name)
+                docs.append((len(docs), text))
+    rows = licenses.scan(docs_table(docs)).collect()
+    assert {r["doc_id"]: (r["start"], r["end"] - r["start"], r["license"]) for r in rows if r["exact"]} == want and len(rows) == len(docs)
+    # cuts inside words, and between a notice and the shorter one inside, make no rows of their own
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    odd = [(k, "license " * 300 + f"{'x' * k}small rights reserved {header} " + "license " * 300) for k in range(200)]
+    assert {(r["doc_id"], r["license"]) for r in licenses.scan(docs_table(odd)).collect()} == {(k, "Apache-2.0-header") for k, _ in odd}
+
+
 # 9: rules
 
 
