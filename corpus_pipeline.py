@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the smallest id of each group of near-duplicates."""
-    kept = near.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = near.near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 

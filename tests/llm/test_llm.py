@@ -453,3 +453,18 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in four} == set(got)
     whole = corpus_pipeline.run(spark, SF)
     assert whole.agg(F.sum("length")).first()[0] == sum(r["length"] for r in four)
+
+
+def test_pipeline_links_from_080(spark, docs_table):
+    import corpus_pipeline
+
+    one = checkpoint(corpus_pipeline.quality(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF))
+    own = random.Random(9)
+    pairs = []  # a changed word at an end leaves 45 of 55 shingles (0.818) or 43 of 57 (0.754) in common
+    for k in range(300):
+        words = [f"p{k}w{x}{own.randint(0, 9)}" for x in range(54)]
+        pairs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[: -5 if k % 3 else -7], *(f"q{x}" for x in range(5 if k % 3 else 7))]))]
+    for docs, rows in ((one, [(r["doc_id"], r["text"]) for r in one.collect()]), (docs_table(pairs), pairs)):
+        want = {i for i, r in brute.near(rows, percent=80).items() if r[3]}
+        assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == want
+        assert want != {i for i, r in brute.near(rows).items() if r[3]}
