@@ -21,9 +21,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the smallest id of each group of near-duplicates."""
-    kept = near.near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One document of each group of near-duplicates: the one of the smallest id, null being the largest.
+
+    Rows with equal id and text are one document, of which one row stays; others with the same id, or none, stand alone."""
+    id_, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)), F.coalesce(docs["text"].cast("string"), F.lit(""))
+    work = F.shiftrightunsigned(F.xxhash64(id_, text), 1).alias("work")
+    found = near.near_duplicates(docs.select(work.alias("doc_id"), "text"), percent=80)
+    groups = found.select(F.col("doc_id").alias("work"), "component_id").distinct()
+    first = F.min(F.struct("id", "work"))["work"].alias("work")
+    kept = docs.select(work, id_.alias("id")).distinct().join(groups, "work").groupBy("component_id").agg(first).select("work")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), work)
+    return rows.join(kept, "work", "left_semi").dropDuplicates(["work"]).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -468,3 +468,16 @@ def test_pipeline_links_from_080(spark, docs_table):
         want = {i for i, r in brute.near(rows, percent=80).items() if r[3]}
         assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == want
         assert want != {i for i, r in brute.near(rows).items() if r[3]}
+
+
+def test_pipeline_keeps_one_of_repeated_and_null_ids(spark, docs_table):
+    import corpus_pipeline
+
+    other = " ".join(f"other{k}" for k in range(40))
+    lone = " ".join(f"lone{k}" for k in range(40))
+    rows = [(1, BASE), (1, BASE), (2, BASE + " nineteen"), (2, other), (3, other), (3, lone), (None, lone), (None, LONG), (None, LONG), (None, LONG + " end"), (4, ""), (5, None), (None, BASE)]
+    got = corpus_pipeline.near_duplicates(spark, docs_table(rows, more=True), SF)
+    assert got.columns == ["doc_id", "text", "block", "digest", "words"]
+    got = sorted(((r["doc_id"] or 99, r["text"] or "") for r in got.collect()))
+    assert [x for x in got if x[1][:50] != LONG[:50]] == sorted([(1, BASE), (2, other), (3, lone), (4, ""), (5, "")])
+    assert len([x for x in got if x[1][:50] == LONG[:50]]) == 1
