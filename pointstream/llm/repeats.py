@@ -5,12 +5,15 @@ a row that share one form a segment.  Documents are handled in blocks, in three
 
 1. Blocks send their minimisers, buckets answer which of them occur again.  The rest can't be in a repeat.
 2. Blocks send their distinct segments with such minimisers, and a bucket that gets several different
-   segments of one minimiser sorts all suffixes of these.  A stack scan of the suffix array gives the tree
-   of common-prefix intervals, hence all maximal repeats with all their occurrences.
+   segments of one minimiser sorts all suffixes of these.  A stack scan of the suffix array goes through the
+   tree of common-prefix intervals.
 3. Each occurrence but a repeat's first is removed.
 
 Every repeated string of ``least`` bytes has the occurrences of one maximal repeat, so this removes just the
-bytes that a string with an earlier start covers."""
+bytes that a string with an earlier start covers.  For that the scan needs neither the byte before an
+occurrence nor lists of occurrences: a repeat that isn't maximal to the left covers bytes that a maximal one covers too.
+``maximal_repeats`` does test the byte before and gives groups with all occurrences, but only for strings at hand;
+no query or stage calls it, and no operator gives such groups for a table."""
 
 from __future__ import annotations
 
@@ -253,7 +256,7 @@ def repeated_runs(strings: list[bytes], least: int) -> list[tuple[int, int, int]
 
 
 def later_spans(strings: list[bytes], places: list[tuple[int, int]], least: int) -> list[list[tuple[int, int]]]:
-    """For each string, spans that an earlier occurrence of a maximal repeat covers; string k starts at ``places[k]``.
+    """For each string, spans of repeats with an earlier occurrence, maximal to the left or not; string k starts at ``places[k]``.
 
     Goes through the tree once: when a node closes, the firsts of its children other than its own first get
     its length, so each suffix gets the longest repeat in which it isn't first."""
