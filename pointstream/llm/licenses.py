@@ -21,7 +21,9 @@ from .common import Generations, batch, id_out, parts, texts
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
+    "Apache-2.0-short": "Licensed under the Apache License 2.0",
     "MIT": "Released under the MIT License",
+    "MIT-licensed": "Licensed under the MIT License",
     "MIT-text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "GPL-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
@@ -42,7 +44,8 @@ CUES = re.compile(r"licen[sc]|copyright|all[\W_]+rights[\W_]+reserved|redistribu
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 #: Characters compressed at once; longer candidates are compressed in pieces that overlap by half.
 BLOCK = 4096
-#: A notice may lack, add or change one word in ten.
+#: A notice may lack, add or change one word in ten, rounded down: templates of under ten words match word by word only,
+#: as one other word would make 'Released under the BSD License' a notice of MIT.  Their common variants are templates.
 DIFFERENT = 0.1
 #: Words that a notice, or a cue and a notice, can span.
 REACH = max(int((1 + DIFFERENT) * len(WORD.findall(t))) for t in TEMPLATES.values()) + 3

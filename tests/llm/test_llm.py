@@ -371,6 +371,12 @@ def test_licenses_however_wrapped(spark, docs_table):
     assert {(r["doc_id"], r["license"]) for r in licenses.scan(docs_table(odd)).collect()} == {(k, "Apache-2.0-header") for k, _ in odd}
 
 
+def test_short_licenses(docs_table):
+    rows = [(1, "Licensed under the Apache License 2.0"), (2, "It is licensed under the MIT License."), (3, "Released under the BSD License"), (4, "Licensed under CC BY-ND 4.0"), (5, "licensed under the GNU General Public License"), (6, "All rights")]
+    got = [(r["doc_id"], r["license"], r["exact"]) for r in licenses.scan(docs_table(rows)).collect()]
+    assert sorted(got) == [(1, "Apache-2.0-short", True), (2, "MIT-licensed", True)]
+
+
 # 9: rules
 
 
