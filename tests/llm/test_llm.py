@@ -191,6 +191,12 @@ def test_sketches_merge_and_estimate():
     assert abs(near.estimates(r[0], len(a), r[1:2], np.asarray([len(b)]))[0] - true) < near.MARGIN
 
 
+def test_estimates_lose_no_small_sets():
+    values = np.random.default_rng(39).integers(0, 2**63, (20_000, 20), dtype=np.uint64)[19068]
+    sets = [np.sort(values[:18]), np.sort(np.concatenate([values[:17], values[18:]]))]  # 17 of 20: just 0.85, estimated as 0.67
+    assert near.links([1, 2], sets, near.sketches(sets), 85) == [(1, 2)]
+
+
 def test_components(spark):
     edges = [(R.randint(0, 500), R.randint(0, 500)) for _ in range(300)] + [(k, k + 1) for k in range(1000, 1400)]
     df = spark.createDataFrame([(max(e), min(e)) for e in edges], "u long, v long").repartition(5)
