@@ -15,17 +15,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .chunks import CHUNK
-from .common import Generations, batch, id_out, parts, texts
+from .chunks import CHUNK, KEPT_CHARACTERS
+from .common import Generations, batch, parts, relaxing, texts
 
 #: Longer words (in bytes; positions have 8 bits in the query) are contracted outside SQL by the same rule, as a query's steps times its rows grow with the square of the length.
 LONG_WORD = 128
 #: Words in one recursive query.
-WORDS = 100_000
+WORDS = 50_000
 #: Text bytes whose new words are solved together.
 TOGETHER = 6 << 20
-#: Entries of each of the two caches in a worker.
-KEPT = 300_000
+#: Entries of a generation of each of the two caches in a worker; chunks and words over ``KEPT_CHARACTERS`` don't stay in them.
+KEPT = 200_000
 
 ENCODE = """
 WITH RECURSIVE step(it, k, t) AS (
@@ -89,7 +89,8 @@ class BpeCodec:
         self.pieces = {i: x for x, i in self.ranks.items()}
         self.cache = Generations(most)
         self.words = Generations(most)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "preserve_insertion_order": False})
+        # all in memory: what a worker spilt would lie in a folder of its own
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False})
         merges = [(self.ranks[x[:k]], self.ranks[x[k:]], i) for x, i in self.ranks.items() for k in range(1, len(x)) if x[:k] in self.ranks and x[k:] in self.ranks]
         self._load("merges", l=[m[0] for m in merges], r=[m[1] for m in merges], merged=[m[2] for m in merges])
         self._load("vocabulary", id=list(self.pieces), piece=list(self.pieces.values()))
@@ -144,6 +145,9 @@ class BpeCodec:
         for s in split:
             found = list(map(get, s))
             out.append((",".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+        for cache in (self.cache, self.words):
+            for long in [k for k in cache if len(k) > KEPT_CHARACTERS]:
+                del cache[long]
         return out
 
 
@@ -159,7 +163,8 @@ def codec(path: str, pattern: str) -> BpeCodec:
 def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, ids (decimal, joined by commas), decoded (bytes) of each document; nothing is shuffled.
 
-    Null texts count as empty: no ids and no bytes.  Special tokens' strings in a text are ordinary text."""
+    Null texts count as empty: no ids and no bytes.  Special tokens' strings in a text are ordinary text.  A row
+    without an id keeps its null, repeated rows have a row each, and an empty table gives none."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.string()), ("decoded", pa.binary())])
 
     def run(batches):
@@ -168,7 +173,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             done = model.texts(some)
             yield batch(schema, doc_id=own, ids=[d[0] for d in done], decoded=[d[1] for d in done])
 
-    return texts(docs).mapInArrow(run, "doc_id long, ids string, decoded binary").withColumn("doc_id", id_out())
+    return texts(docs).mapInArrow(relaxing(run), "doc_id long, ids string, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -181,4 +186,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             done = model.texts(some)
             yield batch(schema, doc_id=own, n_tokens=[d[0].count(",") + 1 if d[0] else 0 for d in done], ids_sha256=[hashlib.sha256(d[0].encode()).hexdigest() for d in done], decoded_sha256=[hashlib.sha256(d[1]).hexdigest() for d in done])
 
-    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumn("doc_id", id_out())
+    return texts(docs).mapInArrow(relaxing(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

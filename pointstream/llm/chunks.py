@@ -22,8 +22,9 @@ CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 OTHER_WHITE = re.compile("[\t\v-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: A run of Latin letters and the punctuation behind: two words by the pattern.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
-#: Entries of the cache in a worker; about 100 bytes each, twice that at the most.
-CACHED = 450_000
+#: Entries of a cache's generation in a worker, of which there are two, and characters of a chunk in it: an entry has
+#: about 200 bytes, 600 at the most.
+CACHED, KEPT_CHARACTERS = 150_000, 64
 
 
 def vocabulary(name: str) -> str:
@@ -43,6 +44,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache = Generations(most)
+        self.long: list[str] = []  # chunks that leave the cache again after their text
         # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = iter(range(256, 512))
@@ -63,6 +65,9 @@ class ChunkEncoder:
             except KeyError:
                 self.learn([k for k in set(keys) if k not in self.cache and k not in self.cache.old])
                 found.append(b"".join(map(get, keys)))
+                for k in self.long:
+                    del self.cache[k]
+                self.long = []
         return found
 
     def keys(self, text: str) -> list[str]:
@@ -81,6 +86,7 @@ class ChunkEncoder:
 
     def learn(self, keys: list[str]) -> None:
         others = []
+        self.long = [k for k in keys if len(k) > KEPT_CHARACTERS]
         for k in keys:
             lead, rest = ("", k[2:]) if k.startswith("  ") else ("", k[1:]) if k[0] == " " else ("\n", k[1:]) if k[0] == "\n" else (" ", k)
             if m := PLAIN.fullmatch(rest):

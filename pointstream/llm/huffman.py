@@ -1,12 +1,13 @@
 """Token ids as files: canonical length-limited Huffman codes from global counts, in blocks that decode on their own.
 
-A file's bytes: ``MAGIC``; six little-endian 64-bit numbers (shard, documents, ids, ids in a block,
-longest code, bytes of the bit stream); the documents' ids (int64) and numbers of token ids (int64); the
+A file's bytes: ``MAGIC``; seven little-endian 64-bit numbers (shard, documents, ids, ids in a block, longest
+code, bytes of the bit stream, documents without an id, which come last); the documents' ids (int64) and numbers
+of token ids (int64); the
 distinct token ids (uint32) in canonical order and, for each code length up to the longest, how many
 there are (uint32); the bit offset at which each block begins (uint64); the bit stream, most significant
 bit first, padded to 8 bytes and followed by 8 zero bytes.
 
-Spark's writers are the only way to any store, so a file travels as a row (shard, name, image) of a
+Spark's writers are the only way to any store, so a file travels as a row (shard, name, ids, image) of a
 table; ``image`` is the whole file, to be written anywhere as it is."""
 
 from __future__ import annotations
@@ -16,18 +17,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .chunks import encoder
-from .common import batch, checkpoint, id_out, pack_arrays, parts, texts, unpack_arrays
+from .common import LAST_ID, batch, checkpoint, pack_arrays, parts, relax, relaxing, texts, unpack_arrays
 
-MAGIC = b"TOKHUF01"
+MAGIC = b"TOKHUF02"
 LONGEST = 17
 BLOCK_IDS = 1024
 SHARD_DOCS = 2048
 #: Shard of the rows that carry counts.
 COUNTS = -1
+#: Files whose numbers of ids are summed up together.
+SUMMED = 4096
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -116,11 +119,11 @@ class Code:
         return out.reshape(-1)[:n]
 
 
-def to_image(shard: int, docs: np.ndarray, lengths: np.ndarray, ids: np.ndarray, code: Code, block: int = BLOCK_IDS) -> bytes:
+def to_image(shard: int, docs: np.ndarray, lengths: np.ndarray, ids: np.ndarray, code: Code, block: int = BLOCK_IDS, nameless: int = 0) -> bytes:
     stream, starts = code.encode(ids)
     return b"".join([
         MAGIC,
-        struct.pack("<6q", shard, len(docs), len(ids), block, code.longest, len(stream)),
+        struct.pack("<7q", shard, len(docs), len(ids), block, code.longest, len(stream), nameless),
         np.asarray(docs, "<i8").tobytes(),
         np.asarray(lengths, "<i8").tobytes(),
         struct.pack("<q", len(code.symbols)),
@@ -131,12 +134,12 @@ def to_image(shard: int, docs: np.ndarray, lengths: np.ndarray, ids: np.ndarray,
     ])
 
 
-def from_image(image: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """shard, the documents' ids, their numbers of token ids, all token ids."""
+def from_image(image: bytes) -> tuple[int, np.ma.MaskedArray, np.ndarray, np.ndarray]:
+    """shard, the documents' ids (masked where there is none), their numbers of token ids, all token ids."""
     if image[:8] != MAGIC:
         raise ValueError("not a file of token ids")
-    shard, docs, n, block, longest, size = struct.unpack_from("<6q", image, 8)
-    at = 56
+    shard, docs, n, block, longest, size, nameless = struct.unpack_from("<7q", image, 8)
+    at = 64
 
     def take(kind: str, many: int) -> np.ndarray:
         nonlocal at
@@ -148,22 +151,43 @@ def from_image(image: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     symbols = take("<u4", int(take("<i8", 1)[0]))
     code = Code(symbols, take("<u4", longest + 1))
     offsets = take("<u8", -(-n // block))
-    return shard, ids, lengths, code.decode(image[at : at + size], offsets, n, block)
+    return shard, np.ma.masked_array(ids, np.arange(docs) >= docs - nameless), lengths, code.decode(image[at : at + size], offsets, n, block)
+
+
+def _bounds(docs: DataFrame, shard_docs: int) -> np.ndarray:
+    """The ids at which files end, in order, from the ids alone: one for every ``shard_docs`` rows at the most, as often as it
+    ends a file.  Rows are dealt and sorted by ranges; each task tells every ``shard_docs``-th of its ids, so the driver
+    gets a number for each file."""
+
+    def run(batches):
+        at = 0
+        for b in batches:
+            found = b.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(found[-at % shard_docs :: shard_docs])], names=["id"])
+            at += len(found)
+
+    ids = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"))
+    found = ids.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, "id long")
+    return np.sort(found.toPandas()["id"].to_numpy(np.int64))[1:]
 
 
 def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, bounds: np.ndarray) -> DataFrame:
-    """Rows (shard, payload), stored: ids of one task's documents that belong to a shard, and the task's counts."""
+    """Rows (shard, payload), stored: ids of one task's documents that belong to a shard, and the task's counts.
+
+    Shard k has ids from ``bounds[k - 1]`` to ``bounds[k]``; rows with an id that ends several are dealt to these in turn."""
     schema = pa.schema([("shard", pa.int32()), ("payload", pa.binary())])
+    shared = docs.sparkSession.sparkContext.broadcast(bounds)  # a number for each file
 
     def run(batches):
-        model, counts, held, size = encoder(vocabulary), np.zeros(0, np.int64), {}, 0
+        model, counts, held, size, turn = encoder(vocabulary), np.zeros(0, np.int64), {}, 0, 0
 
         def flush():
             for shard, (own, found) in held.items():
                 tokens = np.frombuffer(b"".join(found), "<u4")
                 narrow = tokens.astype("<u2") if not len(tokens) or tokens.max() < 65536 else tokens
                 lengths = np.asarray([len(x) // 4 for x in found], "<i8")
-                yield batch(schema, shard=[shard], payload=[pack_arrays(np.asarray(own, "<i8"), lengths, narrow)])
+                none = np.asarray([i is None for i in own])
+                yield batch(schema, shard=[shard], payload=[pack_arrays(np.asarray([LAST_ID if i is None else i for i in own], "<i8"), none, lengths, narrow)])
 
         end = np.asarray([end_id], "<u4").tobytes()
         for own, some in parts(batches):
@@ -174,7 +198,11 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, bounds: np.ndarray
                 counts = new
             else:
                 counts[: len(new)] += new
-            for shard, doc, tokens in zip(np.searchsorted(bounds, own, "right").tolist(), own, found):
+            keys = np.asarray([LAST_ID if i is None else i for i in own], np.int64)
+            first, last = np.searchsorted(shared.value, keys, "left"), np.searchsorted(shared.value, keys, "right")
+            places = first + (turn + np.arange(len(keys))) % (last - first + 1)
+            turn += len(keys)
+            for shard, doc, tokens in zip(places.tolist(), own, found):
                 a, b = held.setdefault(shard, ([], []))
                 a.append(doc)
                 b.append(tokens)
@@ -186,7 +214,7 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, bounds: np.ndarray
         if len(counts):
             yield batch(schema, shard=[COUNTS], payload=[pack_arrays(np.flatnonzero(counts), counts[counts > 0])])
 
-    return checkpoint(docs.mapInArrow(run, "shard int, payload binary"))
+    return checkpoint(docs.mapInArrow(relaxing(run), "shard int, payload binary"))
 
 
 def _explode(batches):
@@ -199,13 +227,10 @@ def _explode(batches):
 def write_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, shard_docs: int = SHARD_DOCS, longest: int = LONGEST) -> None:
     """Token ids of all documents, an end id after each, in files that ascend by doc_id; one table row is one file.
 
-    Null texts count as empty.  Rows with the same id stand next to each other, in the order of their token ids."""
+    Null texts count as empty.  Rows with the same id come one after the other; inside a file, in the order of their token
+    ids.  Rows without an id come last.  An empty table gives no files."""
     docs = texts(docs)
-    many = docs.count()
-    at = [k / -(-many // shard_docs) for k in range(1, -(-many // shard_docs))]
-    # split points by the narrow column alone; as many numbers as files
-    bounds = np.unique(np.asarray(docs.approxQuantile("doc_id", at, 0.1 / (len(at) + 1)) if at else [], np.float64).astype(np.int64))
-    stored = _tokenised(docs, vocabulary, end_id, bounds)
+    stored = _tokenised(docs, vocabulary, end_id, _bounds(docs, shard_docs))
     counts = stored.where(F.col("shard") == COUNTS).select("payload").mapInArrow(_explode, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()  # the vocabulary's size bounds it
     code = Code.of(counts["id"].to_numpy(np.int64), counts["n"].to_numpy(np.int64), longest)
     symbols, per_length = code.symbols, code.per_length
@@ -214,20 +239,23 @@ def write_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, sh
         shard = group.column("shard")[0].as_py()
         rows = []
         for payload in group.column("payload").to_pylist():
-            own, lengths, tokens = unpack_arrays(payload)
+            own, none, lengths, tokens = unpack_arrays(payload)
             ends = np.cumsum(lengths)
-            rows += [(int(d), tokens[e - n : e].astype("<u4")) for d, n, e in zip(own, lengths, ends)]
-        rows.sort(key=lambda r: r[0])
-        if any(a[0] == b[0] for a, b in zip(rows, rows[1:])):
-            rows.sort(key=lambda r: (r[0], r[1].tolist()))
-        image = to_image(shard, [d for d, _ in rows], [len(x) for _, x in rows], np.concatenate([x for _, x in rows]), Code(symbols, per_length))
-        return pa.table({"shard": pa.array([shard], pa.int32()), "name": [f"ids-{shard:08d}.tokhuf"], "image": pa.array([image], pa.binary())})
-
-    files = stored.where(F.col("shard") != COUNTS).groupBy("shard").applyInArrow(encode, "shard int, name string, image binary")
+            rows += [(bool(x), int(d), tokens[e - n : e].astype("<u4")) for d, x, n, e in zip(own, none, lengths, ends)]
+        rows.sort(key=lambda r: r[:2])
+        if any(a[:2] == b[:2] for a, b in zip(rows, rows[1:])):
+            rows.sort(key=lambda r: (*r[:2], r[2].tolist()))
+        ids = np.concatenate([x for *_, x in rows])
+        image = to_image(shard, [d for _, d, _ in rows], [len(x) for *_, x in rows], ids, Code(symbols, per_length), nameless=sum(x for x, *_ in rows))
+        del rows
+        relax()
+        return pa.table({"shard": pa.array([shard], pa.int32()), "name": [f"ids-{shard:08d}.tokhuf"], "ids": pa.array([len(ids)], pa.int64()), "image": pa.array([image], pa.binary())})
+
+    files = stored.where(F.col("shard") != COUNTS).groupBy("shard").applyInArrow(encode, "shard int, name string, ids long, image binary")
     files.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
-def read_files(spark, path: str) -> DataFrame:
+def read_files(spark: SparkSession, path: str) -> DataFrame:
     """What the files hold, a row for each document: doc_id, start, n_tokens, ids_crc32."""
     schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -237,16 +265,14 @@ def read_files(spark, path: str) -> DataFrame:
                 shard, docs, lengths, ids = from_image(image.as_py())
                 ends, raw = np.cumsum(lengths), ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for n, e in zip(lengths.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), shard), pa.int32()), pa.array(docs), pa.array(ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], schema=schema)
+                names = pa.array(docs.data, pa.int64(), mask=np.ma.getmaskarray(docs))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), shard), pa.int32()), names, pa.array(ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], schema=schema)
 
     files = spark.read.parquet(path)
-    rows = files.select("image").mapInArrow(decode, "shard int, doc_id long, local long, n_tokens long, ids_crc32 long")
-    totals = files.select("shard", _le64(F.col("image"), 8 + 16).alias("n"))
-    base = totals.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    return rows.join(base, "shard").select(id_out(), (F.col("base") + F.col("local")).cast("long").alias("start"), "n_tokens", "ids_crc32")
-
-
-def _le64(image, at: int):
-    """The little-endian number at a byte offset of ``image``."""
-    digits = F.concat(*(F.hex(F.substring(image, at + 8 - k, 1)) for k in range(8)))
-    return F.conv(digits, 16, 10).cast("long")
+    rows = files.select("image").mapInArrow(relaxing(decode), "shard int, doc_id long, local long, n_tokens long, ids_crc32 long")
+    # ids before each file: sums within stretches of files, and of the stretches before
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = files.select("shard", F.expr(f"shard div {SUMMED}").alias("stretch"), F.col("ids").alias("n"))
+    stretches = totals.groupBy("stretch").agg(F.sum("n").alias("n")).select("stretch", before(Window.orderBy("stretch")).alias("ahead"))
+    base = totals.select("shard", "stretch", before(Window.partitionBy("stretch").orderBy("shard")).alias("within")).join(F.broadcast(stretches), "stretch")
+    return rows.join(base, "shard").select("doc_id", (F.col("ahead") + F.col("within") + F.col("local")).cast("long").alias("start"), "n_tokens", "ids_crc32")

@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from .common import Generations, batch, id_out, parts, texts
+from .common import Generations, batch, parts, relaxing, texts
 
 #: Notices in their own wording, by SPDX-like name.
 TEMPLATES = {
@@ -155,7 +155,8 @@ _scanner: list[Scanner] = []
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, start, end, license, bytes_saved, words_missing, words_added, exact): a row for each confirmed
-    notice; start and end count code points.  Documents without one, null texts among them, have no rows."""
+    notice; start and end count code points.  Documents without one, null texts among them, have no rows.
+    Repeated rows have the rows of each, a row without an id keeps its null, and an empty table gives none."""
 
     def run(batches):
         if not _scanner:
@@ -174,4 +175,4 @@ def scan(docs: DataFrame) -> DataFrame:
             if rows:
                 yield batch(OUT, **dict(zip(OUT.names, zip(*rows))))
 
-    return texts(docs).mapInArrow(run, "doc_id long, start long, end long, license string, bytes_saved long, words_missing long, words_added long, exact boolean").withColumn("doc_id", id_out())
+    return texts(docs).mapInArrow(relaxing(run), "doc_id long, start long, end long, license string, bytes_saved long, words_missing long, words_added long, exact boolean")

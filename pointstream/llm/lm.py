@@ -8,8 +8,9 @@ only: it is worked out once for each distinct string of ``ORDER + 1`` bytes.
 
 Blocks of documents send their distinct strings, with training counts, to buckets by the context's last two
 bytes; there all counts of contexts of two bytes or more are local, and shorter contexts have at most 65,536
-counts, which the driver hands on.  Buckets answer with log probabilities.  Words travel the same way for the
-unigram base.  Nothing the size of the corpus is broadcast or collected."""
+counts, which the driver hands on.  Strings of a frequent pair are dealt by the context's last three bytes, and
+the pair's own counts (256 at the most) are handed on too.  Buckets answer with log probabilities.  Words travel
+the same way for the unigram base.  Nothing the size of the corpus is broadcast or collected."""
 
 from __future__ import annotations
 
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, answer, batch, blocks, buckets, checkpoint, from_blob, id_out, mix, pack_arrays, resolve, scatter, texts, unpack_arrays
+from .common import answer, batch, blocks, checkpoint, frequent, from_blob, mix, pack_arrays, relaxing, resolve, scatter, texts, unpack_arrays
 
 ORDER = 5
 #: Ends a document; no word has this byte, nor the blank between words.
@@ -31,13 +32,14 @@ END = 10
 #: Text bytes whose strings are worked on together.
 PIECE = 1 << 20
 GRAMS, WORDS = 0, 1
+#: Bytes of messages for each byte of the blocks.
+MOVED = 0.9
 #: Block of the words' totals.
 EVERYWHERE = -1
 
 
-def trains(doc_id: int) -> bool:
-    text = b"" if doc_id == LAST_ID else str(doc_id).encode()
-    return zlib.crc32(text) % 7 != 2
+def trains(doc_id: int | None) -> bool:
+    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 != 2
 
 
 class Block:
@@ -47,7 +49,7 @@ class Block:
         self.ids, offsets, data = from_blob(blob)
         data = data.lower()
         self.tokens = [data[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        self.trains = np.asarray([trains(i) for i in self.ids.tolist()], bool)
+        self.trains = np.asarray([trains(i) for i in self.ids.column().to_pylist()], bool)
 
     def pieces(self):
         """(first document, one past the last, strings as numbers, where each document's begin)."""
@@ -128,8 +130,21 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[heads], np.add.reduceat(counts, heads) if len(heads) else counts
 
 
-def _gram_bucket(grams: np.ndarray, many: int) -> np.ndarray:
-    return (mix(grams >> np.uint64(8) & np.uint64(0xFFFF)) % np.uint64(many)).astype(np.int64)
+def _pair(grams: np.ndarray) -> np.ndarray:
+    """The last two bytes of the context."""
+    return grams >> np.uint64(8) & np.uint64(0xFFFF)
+
+
+def _is_hot(grams: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether the context's last two bytes are one of the frequent pairs."""
+    flags = np.zeros(1 << 16, bool)
+    flags[hot.astype(np.int64)] = True
+    return flags[_pair(grams).astype(np.int64)]
+
+
+def _gram_bucket(grams: np.ndarray, many: int, hot: np.ndarray) -> np.ndarray:
+    context = np.where(_is_hot(grams, hot), grams >> np.uint64(8) & np.uint64(0xFFFFFF) | np.uint64(1 << 24), _pair(grams))
+    return (mix(context) % np.uint64(many)).astype(np.int64)
 
 
 def _word_bucket(words: list[bytes], many: int) -> np.ndarray:
@@ -141,11 +156,11 @@ def _groups(bucket: np.ndarray):
     return np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []
 
 
-def send(many: int):
+def send(many: int, hot: np.ndarray):
     def run(block: int, blob: bytes):
         own = Block(blob)
         grams, counts = own.grams()
-        for group in _groups(bucket := _gram_bucket(grams, many)):
+        for group in _groups(bucket := _gram_bucket(grams, many, hot)):
             steps = np.diff(grams[group], prepend=np.uint64(0))
             yield int(bucket[group[0]]), bytes([GRAMS]) + pack_arrays(steps, counts[group].astype(np.uint32))
         words, counts = own.word_counts()
@@ -156,10 +171,11 @@ def send(many: int):
     return run
 
 
-def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: np.ndarray) -> np.ndarray:
+def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: np.ndarray, pairs: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """log10 of the probability of each string's last byte after the others.
 
-    ``grams`` are distinct and complete for their contexts' last two bytes; ``short[a, s]`` counts byte s after a."""
+    ``short[a, s]`` counts byte s after a.  ``grams`` are distinct and complete for their contexts' last two bytes, or,
+    with ``pairs``, for the last three: ``pairs`` are strings of three bytes, in order, and their counts."""
     n = len(grams)
     out, done = np.zeros(n), np.zeros(n, bool)
     last, before = (grams & np.uint64(255)).astype(np.int64), (grams >> np.uint64(8) & np.uint64(255)).astype(np.int64)
@@ -178,6 +194,9 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: np.ndarray)
     keys, sums = grams, counts  # strings with the order's context, and where each gram's is
     of = np.arange(n)
     for order in range(ORDER, 1, -1):
+        if order == 2 and pairs:  # counts of all strings with these contexts, not of those here alone
+            of = np.searchsorted(pairs[0], keys)[of]
+            keys, sums = pairs
         contexts, context_of = np.unique(keys >> np.uint64(8), return_inverse=True)
         total = np.bincount(context_of, sums, len(contexts))
         known = np.bincount(context_of, sums > 0, len(contexts))
@@ -187,12 +206,16 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: np.ndarray)
         shorter = keys & np.uint64((1 << (8 * order)) - 1)
         if order > 2:
             short_keys, short_of = np.unique(shorter, return_inverse=True)
-            short_sums = np.bincount(short_of, sums, len(short_keys)).astype(np.int64)
+            if order == 3 and pairs:
+                at = np.minimum(np.searchsorted(pairs[0], short_keys), len(pairs[0]) - 1)
+                short_sums = np.where(pairs[0][at] == short_keys, pairs[1][at], 0)
+            else:
+                short_sums = np.bincount(short_of, sums, len(short_keys)).astype(np.int64)
             inside = np.bincount(context_of, np.where(sums > 0, short_sums[short_of], 0), len(contexts))[mine]
             keys, sums, of = short_keys, short_sums, short_of[of]
         else:
-            pairs = short[(shorter >> np.uint64(8)).astype(np.int64), (shorter & np.uint64(255)).astype(np.int64)]
-            inside = np.bincount(context_of, np.where(sums > 0, pairs, 0), len(contexts))[mine]
+            counted = short[(shorter >> np.uint64(8)).astype(np.int64), (shorter & np.uint64(255)).astype(np.int64)]
+            inside = np.bincount(context_of, np.where(sums > 0, counted, 0), len(contexts))[mine]
     step(short[before, last], short.sum(1)[before], (short > 0).sum(1)[before])
     known_more = (short > 0).sum(1)[before]
     inside = np.where(short > 0, single[None, :], 0).sum(1)[before]
@@ -201,13 +224,17 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, short: np.ndarray)
     return out
 
 
-def reply(short: np.ndarray):
+def reply(short: np.ndarray, hot: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]):
     def run(own: list[int], payloads: list[bytes]):
         sent = [(block, p[0], unpack_arrays(p[1:])) for block, p in zip(own, payloads)]
         grams = [(block, np.cumsum(a[0], dtype=np.uint64), a[1]) for block, kind, a in sent if kind == GRAMS]
         if grams:
             keys, counts = merged(np.concatenate([g[1] for g in grams]), np.concatenate([g[2] for g in grams]).astype(np.int64))
-            logs = log_probabilities(keys, counts, short)
+            frequent_, logs = _is_hot(keys, hot), np.zeros(len(keys))
+            logs[~frequent_] = log_probabilities(keys[~frequent_], counts[~frequent_], short)
+            if frequent_.any():
+                own = np.isin(pairs[0] >> np.uint64(8), np.unique(_pair(keys[frequent_])))
+                logs[frequent_] = log_probabilities(keys[frequent_], counts[frequent_], short, (pairs[0][own], pairs[1][own]))
             for block, mine, _ in grams:
                 at = np.searchsorted(keys, mine)
                 yield block, bytes([GRAMS]) + pack_arrays(mine[:1], logs[at])
@@ -231,7 +258,7 @@ def reply(short: np.ndarray):
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def finish(many: int, total: int, distinct: int):
+def finish(many: int, hot: np.ndarray, total: int, distinct: int):
     def run(blob: bytes, payloads: list[bytes]) -> pa.RecordBatch:
         own = Block(blob)
         answers = [(p[0], unpack_arrays(p[1:])) for p in payloads]
@@ -239,7 +266,7 @@ def finish(many: int, total: int, distinct: int):
 
         def logs_of(grams: np.ndarray) -> np.ndarray:
             logs = np.zeros(len(grams))
-            for group in _groups(_gram_bucket(grams, many)):
+            for group in _groups(_gram_bucket(grams, many, hot)):
                 logs[group] = by_first[int(grams[group[0]])]
             return logs
 
@@ -255,21 +282,39 @@ def finish(many: int, total: int, distinct: int):
         gain = np.log10(counts + 1.0)
         base = total_of(gain) + gain[0] - (sizes + 1) * np.log10(total + distinct + 1)
         known = total_of((counts > 0).astype(np.int64)) + (counts[0] > 0)
-        return batch(OUT, doc_id=own.ids, held_out=~own.trains, n_tokens=sizes + 1, n_known=known, train_tokens=[total] * len(own.ids), base_score=base, score=score)
+        return batch(OUT, doc_id=own.ids.column(), held_out=~own.trains, n_tokens=sizes + 1, n_known=known, train_tokens=[total] * len(sizes), base_score=base, score=score)
 
     return run
 
 
-def _pairs(batches):
-    """Training counts of pairs of neighbouring bytes, by block."""
-    for b in batches:
-        for blob in b.column(0):
-            own, counts = Block(blob.as_py()), np.zeros(1 << 16, np.int64)
-            for first, last, grams, starts in own.pieces():
-                learnt = np.repeat(own.trains[first:last], np.diff(np.concatenate([starts, [len(grams)]])))
-                counts += np.bincount((grams[learnt] & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
-            keys = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[keys])], names=["pair", "n"])
+def _all_pairs(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts' last two bytes and how often each occurs in a block."""
+    counts = np.zeros(1 << 16, np.int64)
+    for _, _, grams, _ in Block(blob).pieces():
+        counts += np.bincount(_pair(grams).astype(np.int64), minlength=1 << 16)
+    keys = np.flatnonzero(counts)
+    return keys.astype(np.uint64), counts[keys]
+
+
+def _short_counts(hot: np.ndarray):
+    """Training counts of strings of two bytes, and of those of three behind frequent pairs; these have the higher numbers."""
+    place = np.zeros(1 << 16, np.int64)
+    place[hot.astype(np.int64)] = np.arange(len(hot)) * 256
+
+    def run(batches):
+        for b in batches:
+            for blob in b.column(0):
+                own, counts = Block(blob.as_py()), np.zeros((1 << 16) + 256 * len(hot), np.int64)
+                for first, last, grams, starts in own.pieces():
+                    learnt = np.repeat(own.trains[first:last], np.diff(np.concatenate([starts, [len(grams)]])))
+                    grams = grams[learnt]
+                    counts[: 1 << 16] += np.bincount((grams & np.uint64(0xFFFF)).astype(np.int64), minlength=1 << 16)
+                    grams = grams[_is_hot(grams, hot)]
+                    counts[1 << 16 :] += np.bincount(place[_pair(grams).astype(np.int64)] + (grams & np.uint64(255)).astype(np.int64), minlength=256 * len(hot))
+                keys = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts[keys])], names=["pair", "n"])
+
+    return run
 
 
 def _totals(batches):
@@ -282,14 +327,20 @@ def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
     The model's text is that of the tokens: words in lower case, one blank between them, then an end.  Null
-    texts have the end alone.  A row without an id trains.  If nothing trains, all bytes are as likely."""
-    many = buckets(docs.sparkSession)
+    texts have the end alone.  A row without an id trains (its doc_id as text is empty).  Repeated rows count
+    each.  If nothing trains, all bytes are as likely."""
     stored = blocks(texts(docs))
-    short = np.zeros((256, 256))
-    pairs = stored.select("blob").mapInArrow(_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    for r in pairs.collect():  # 65,536 rows at the most
-        short[r["pair"] >> 8, r["pair"] & 255] = r["n"]
-    replies = checkpoint(answer(scatter(stored, send(many)), reply(short)))
+    many = stored.buckets(MOVED)
+    hot = frequent(stored, _all_pairs, 1 / (2 * many))
+    short, triples = np.zeros((256, 256)), np.zeros(256 * len(hot), np.int64)
+    found = stored.table.select("blob").mapInArrow(relaxing(_short_counts(hot)), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    for r in found.collect():  # 65,536 rows at the most, and 256 for each of 2 * many pairs
+        if r["pair"] < 1 << 16:
+            short[r["pair"] >> 8, r["pair"] & 255] = r["n"]
+        else:
+            triples[r["pair"] - (1 << 16)] = r["n"]
+    pairs = (np.repeat(hot << np.uint64(8), 256) + np.tile(np.arange(256, dtype=np.uint64), len(hot)), triples)
+    replies = checkpoint(answer(scatter(stored, send(many, hot)), many, reply(short, hot, pairs)))
     both = replies.where(F.col("block") == EVERYWHERE).select("payload").mapInArrow(_totals, "n long, v long").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return resolve(stored, replies.where(F.col("block") != EVERYWHERE), finish(many, both["n"] or 0, both["v"] or 0), schema).withColumn("doc_id", id_out())
+    return resolve(stored, replies.where(F.col("block") != EVERYWHERE), finish(many, hot, both["n"] or 0, both["v"] or 0), schema)

@@ -7,8 +7,9 @@
    one row a member; connected components of these links hold every pair that shares a bucket.
 4. Inside a component, links are found by breadth-first search: a document is held against those not yet
    reached, first by the likelihood estimate from both sketches, then exactly on the full sets.  Nothing is
-   compared twice, and no pairs are listed.  A component with more than ``GROUP`` shingles is dealt into
-   chunks, and every two chunks are searched together.
+   compared twice, and no pairs are listed.  A component with more than ``GROUP`` shingles is searched bucket
+   by bucket instead, and a bucket with more than that in chunks that all hold its smallest member; the members
+   that no chunk links with that one, and only they, are then searched together with each chunk.
 5. Connected components of the confirmed links are the result."""
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, Generations, batch, checkpoint, id_out, mix, parts, texts
+from .common import Generations, batch, checkpoint, mix, parts, relax, relaxing, texts
 
 WORDS = 5
 #: Bands and registers in each: a pair with similarity 0.85 shares no band with probability 8e-7.
@@ -43,12 +44,16 @@ _PLACES = mix(np.arange(1001, 1101, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7
 
 
 class WordHash(Generations):
+    """Hashes of words; longer ones than an entry should hold are hashed again."""
+
     def __missing__(self, word: bytes) -> int:
-        self[word] = value = self.old.get(word) or xxhash.xxh3_64_intdigest(word)
+        value = self.old.get(word) or xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = value
         return value
 
 
-_words = WordHash(150_000)
+_words = WordHash(100_000)
 
 
 def shingle_sets(some: list[bytes], words: int = WORDS) -> list[np.ndarray]:
@@ -234,36 +239,67 @@ def _bands(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["key", "doc_id"])
 
 
+FOUND = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("left", pa.bool_())])
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 85, group: int = GROUP, most: int = LINKS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``.
 
-    Null or wordless texts have no shingles, link with nothing and stay; so do rows without an id.  Rows
-    with the same id are one document as to ids: links of one are links of all."""
+    Null or wordless texts have no shingles, link with nothing and stay; so do rows without an id, whose
+    component_id is null.  Rows with the same id are one document as to ids: links of one are links of all."""
     docs = texts(docs)
-    rows = checkpoint(docs.mapInArrow(_sketch(words), "doc_id long, n_shingles long, digest binary, registers binary"))
-    full = rows.where((F.col("n_shingles") > 0) & (F.col("doc_id") != LAST_ID))
+    rows = checkpoint(docs.mapInArrow(relaxing(_sketch(words)), "doc_id long, n_shingles long, digest binary, registers binary"))
+    full = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = checkpoint(full.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")))
-    bands = classes.select("doc_id", "registers").mapInArrow(_bands, "key long, doc_id long")
+    # a member of the buckets that have two classes at least, and each bucket's smallest
+    bands = classes.select("doc_id", "registers").mapInArrow(relaxing(_bands), "key long, doc_id long")
     hubs = bands.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w")).where("v <> w").select("key", "v")
-    stars = bands.join(hubs, "key").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct()
-    candidates = components(stars, most)
+    stars = checkpoint(bands.join(hubs, "key").select("key", "doc_id", "v"))
+    candidates = components(stars.where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), most)
     candidates = candidates.select(F.col("u").alias("doc_id"), F.col("v").alias("root")).unionByName(candidates.select(F.col("v").alias("doc_id"), F.col("v").alias("root")).distinct())
 
     members = checkpoint(candidates.join(classes, "doc_id"))
-    totals = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / group).alias("chunks"))
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("size"))
+    own = ["doc_id", "root", "digest", "registers"]
+    alone = F.lit(0).alias("chunk"), F.lit(-1).alias("rest")
+    # small components share a search's group, which keeps them apart by root
     bins = max(1, math.ceil(2 * total / group))
-    # small components share a search's group, which keeps them apart by root; chunks of large ones meet in pairs
-    mine = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
-    with_ = F.explode(F.sequence(F.lit(0), (F.col("chunks") - 1).cast("int")))
-    dealt = members.join(totals, "root").withColumn("mine", mine).withColumn("other", with_)
-    dealt = dealt.select(
-        "doc_id", "root", "digest", "registers",
-        F.when(F.col("chunks") > 1, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(bins))).alias("g"),
-        F.when(F.col("chunks") > 1, F.least("mine", "other")).otherwise(-1).alias("i"),
-        F.greatest("mine", "other").alias("j"),
-    )
-    sources = docs.join(dealt, "doc_id")
+    small = members.join(sizes.where(F.col("size") <= group), "root").select(*own, F.pmod(F.xxhash64("root"), F.lit(bins)).alias("g"), *alone)
+    dealt, found = small, None
+    if not (large := sizes.where(F.col("size") > group)).isEmpty():
+        # the root is the bucket now, as a member of several is searched in each
+        bucketed = members.join(large.select("root"), "root", "left_semi").drop("root").join(stars, "doc_id").withColumnRenamed("key", "root")
+        chunks = F.ceil(F.sum("n_shingles") / group).cast("int")
+        counts = bucketed.groupBy("root").agg(chunks.alias("chunks"))
+        bucketed = checkpoint(bucketed.join(counts, "root").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")))
+        every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+        parts_ = bucketed.where("doc_id <> v").select(*own, "v", F.col("mine").alias("chunk")).unionByName(bucketed.where("doc_id = v").select(*own, "v", every.alias("chunk")))
+        first = parts_.select(*own, F.col("root").alias("g"), "chunk", F.lit(-1).alias("rest"))
+        several = bucketed.where("chunks > 1")
+        found = checkpoint(_searched(docs, first, words, percent, several.select("root").distinct()))
+        # of buckets in several chunks: who isn't linked with the smallest member meets all the chunks
+        lone = several.join(found.where("left").select(F.col("u").alias("doc_id"), F.col("v").alias("root")).distinct(), ["doc_id", "root"], "left_semi")
+        lone = lone.join(lone.groupBy("root").agg(chunks.alias("rests")), "root").withColumn("rest", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("rests")).cast("int"))
+        most_rest = lone.groupBy("root").agg(F.first("rests").alias("rests"))
+        others = several.join(most_rest, "root").select(*own, F.col("root").alias("g"), F.col("mine").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"))
+        asked = lone.select(*own, F.col("root").alias("g"), every.alias("chunk"), "rest")
+        dealt = small.unionByName(others).unionByName(asked)
+    confirmed = _searched(docs, dealt, words, percent, None).select("u", "v")
+    if found is not None:
+        confirmed = confirmed.unionByName(found.where("not left").select("u", "v"))
+    # stored first: two Python operators in one task would need two workers, which live on beside each other
+    reached = components(checkpoint(confirmed), most).select(F.col("u").alias("doc_id"), F.col("v").alias("smallest"))
+    ids = classes.select("digest", "doc_id").join(reached, "doc_id", "left").select("digest", F.coalesce("smallest", "doc_id").alias("component_id"))
+    named = F.when(F.col("doc_id").isNotNull(), F.col("digest"))
+    out = rows.select("doc_id", "n_shingles", named.alias("digest")).join(ids, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def _searched(docs: DataFrame, dealt: DataFrame, words: int, percent: int, split: DataFrame | None) -> DataFrame:
+    """(u, v, left): links u to v inside the groups (g, chunk, rest) of ``dealt``.  For buckets of which ``split`` has the
+    root there are rows too, with ``left``, of members u that bucket v's smallest member isn't joined with in their group."""
+    dealt = dealt.withColumn("tell", F.lit(False)) if split is None else dealt.join(split.withColumn("tell", F.lit(True)), "root", "left").withColumn("tell", F.coalesce("tell", F.lit(False)))
 
     def search(table: pa.Table) -> pa.Table:
         sets = shingle_sets([x.encode() for x in table.column("text").to_pylist()], words)
@@ -272,15 +308,22 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = 85, grou
         for k, (root, doc, digest) in enumerate(zip(*(table.column(c).to_pylist() for c in ("root", "doc_id", "digest")))):
             if _digest(sets[k]) == digest:
                 by_root.setdefault(root, {})[doc, digest] = k
+        told = dict(zip(table.column("root").to_pylist(), table.column("tell").to_pylist()))
         found = []
-        for own in by_root.values():
+        for root, own in by_root.items():
             at = list(own.values())
-            found += links([doc for doc, _ in own], [sets[k] for k in at], registers[at], percent)
-        return pa.table({"u": pa.array([max(x) for x in found], pa.int64()), "v": pa.array([min(x) for x in found], pa.int64())})
-
-    confirmed = sources.select("g", "i", "j", "root", "doc_id", "text", "digest", "registers").groupBy("g", "i", "j").applyInArrow(search, "u long, v long")
-    reached = components(confirmed, most).select(F.col("u").alias("doc_id"), F.col("v").alias("smallest"))
-    ids = classes.select("digest", "doc_id").join(reached, "doc_id", "left").select("digest", F.coalesce("smallest", "doc_id").alias("component_id"))
-    alone = F.when(F.col("doc_id") != LAST_ID, F.col("digest"))
-    out = rows.select("doc_id", "n_shingles", alone.alias("digest")).join(ids, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select(id_out(), "n_shingles", id_out("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
+            joined = links([doc for doc, _ in own], [sets[k] for k in at], registers[at], percent)
+            found += [(max(x), min(x), False) for x in joined]
+            if told[root]:
+                hub, reached = min(doc for doc, _ in own), set()
+                reached.add(hub)
+                for a, b in joined:  # breadth first: an end is reached before the links on from it
+                    if a in reached or b in reached:
+                        reached.update((a, b))
+                found += [(doc, root, True) for doc, _ in own if doc not in reached]
+        del sets, registers
+        relax()
+        return pa.table(dict(zip(FOUND.names, zip(*found))) if found else {n: [] for n in FOUND.names}, schema=FOUND)
+
+    rows = docs.join(dealt, "doc_id").select("g", "chunk", "rest", "root", "doc_id", "text", "digest", "registers", "tell")
+    return rows.groupBy("g", "chunk", "rest").applyInArrow(search, "u long, v long, left boolean")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import encoder
-from .common import batch, checkpoint, id_out, parts, texts
+from .common import batch, checkpoint, parts, relaxing, texts
 
 CAPACITY = 2048
 END_ID = 0
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
             if rows:
                 yield batch(PIECES_SCHEMA, **dict(zip(PIECES_SCHEMA.names, zip(*rows))))
 
-    return checkpoint(texts(docs).mapInArrow(run, PIECES))
+    return checkpoint(texts(docs).mapInArrow(relaxing(run), PIECES))
 
 
 def _fillings(counts: np.ndarray, first: int, gap: int):
@@ -165,5 +165,4 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(sequences[at] + rank - ranks[at]), pa.array(offsets[at])], schema=OUT)
 
     rows = placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
-    out = rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return out.withColumn("doc_id", id_out())
+    return rows.mapInArrow(relaxing(run), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

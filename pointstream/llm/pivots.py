@@ -30,6 +30,8 @@ SAMPLE = 2048
 ANNULUS = 1024
 #: Queries that one search of an annulus handles.
 QUERIES = 4096
+#: Annuli of a pivot that share a cell of distances.
+CELL = 32
 #: Sums of products below this are exact in doubles.
 EXACT = 2.0**52
 
@@ -98,7 +100,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     """(query_id, rank, vec_id, score): for each vec_id divisible by ``every`` the ``k`` other rows of largest inner product.
 
     ``vectors``: vec_id, embedding.  Rows without id, vector, or with components null or not finite take no
-    part.  Rows with the same id count as the query's own.  Vectors of unequal lengths are filled with zeros."""
+    part.  Vectors of unequal lengths are filled with zeros.  Rows with the same id count as the query's own.  An id with
+    several different vectors has them all in one ranking: as a query, the best over its vectors; as a candidate, a
+    rank for each vector that is good enough.  Repeated rows count once.  An empty table gives no rows."""
 
     rows = checkpoint(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_integers(scale), "vec_id long, vector binary").distinct())
     first = Window.partitionBy("vector").orderBy("vec_id")  # limited before the exchange as well
@@ -173,13 +177,23 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
                 yield batch(reach, home=[home] * len(centres), pivot=range(len(centres)), low=low.min(0), high=high.max(0), queries=[packed] + [None] * (len(centres) - 1))
 
     asked = checkpoint(rings.select("annulus", "payload").mapInArrow(ask, "home long, pivot int, low double, high double, queries binary"))
-    a, b = asked.select("home", "pivot", F.col("low").alias("from"), F.col("high").alias("to")), rings.select("annulus", "pivot", "low", "high")
-    pairs = b.join(a, "pivot").where((F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from"))).select("annulus", "home")
+    # a range join by cells of distance: a pivot's annuli are neighbours, so a cell holds CELL of them on average
+    bounds = rings.groupBy("pivot").agg(F.min("low").alias("least"), F.max("high").alias("most"), F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
+    bounds = F.broadcast(bounds)  # a row for each pivot
+    across = F.greatest((F.col("most") - F.col("least")) / F.col("cells"), F.lit(1e-12))
+    cell = lambda c: F.least(F.floor((F.greatest(F.least(F.col(c), F.col("most")), F.col("least")) - F.col("least")) / across).cast("int"), F.col("cells") - 1)
+    wanted = asked.select("home", "pivot", F.col("low").alias("from"), F.col("high").alias("to")).join(bounds, "pivot").where((F.col("from") <= F.col("most")) & (F.col("to") >= F.col("least")))
+    wanted = wanted.withColumn("began", cell("from")).select("home", "pivot", "from", "to", "began", F.explode(F.sequence("began", cell("to"))).alias("cell"))
+    there = rings.select("annulus", "pivot", "low", "high").join(bounds, "pivot").withColumn("begins", cell("low")).select("annulus", "pivot", "low", "high", "begins", F.explode(F.sequence("begins", cell("high"))).alias("cell"))
+    once = F.col("cell") == F.greatest("began", "begins")  # of the cells in which both are, the first
+    pairs = there.join(wanted, ["pivot", "cell"]).where(once & (F.col("low") <= F.col("to")) & (F.col("high") >= F.col("from"))).select("annulus", "home")
     questions = asked.where("queries is not null").select("home", "queries")
-    shares = max(1, -(-asked.where("queries is not null").count() * 64 // QUERIES))
+    shares = max(1, -(-questions.count() * 64 // QUERIES))
     none = F.lit(None).cast("binary")
-    sides = pairs.join(questions, "home").select("annulus", F.pmod(F.xxhash64("home"), F.lit(shares)).alias("share"), none.alias("payload"), "queries", F.lit(None).cast("int").alias("pivot"))
-    rows_ = rings.select("annulus", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("share"), "payload", none.alias("queries"), "pivot")
+    pairs = checkpoint(pairs.select("annulus", "home", F.pmod(F.xxhash64("home"), F.lit(shares)).alias("share")))
+    sides = pairs.join(questions, "home").select("annulus", "share", none.alias("payload"), "queries", F.lit(None).cast("int").alias("pivot"))
+    # an annulus goes to those shares only that ask it
+    rows_ = pairs.select("annulus", "share").distinct().join(rings, "annulus").select("annulus", "share", "payload", none.alias("queries"), "pivot")
     found_schema = pa.schema([("class", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def search(group: pa.Table) -> pa.Table:

@@ -5,15 +5,16 @@ a row that share one form a segment.  Documents are handled in blocks, in three
 
 1. Blocks send their minimisers, buckets answer which of them occur again.  The rest can't be in a repeat.
 2. Blocks send their distinct segments with such minimisers, and a bucket that gets several different
-   segments of one minimiser sorts all suffixes of these.  A stack scan of the suffix array goes through the
-   tree of common-prefix intervals.
-3. Each occurrence but a repeat's first is removed.
+   segments of one minimiser sorts all suffixes of these that can be in a repeat.  A stack scan of the suffix
+   array goes through the tree of common-prefix intervals.  A node whose occurrences don't all follow the same
+   byte is a group: a maximal repeat with all its occurrences.
+3. In each group every occurrence but the first is removed, from the longest group that has it on.
 
-Every repeated string of ``least`` bytes has the occurrences of one maximal repeat, so this removes just the
-bytes that a string with an earlier start covers.  For that the scan needs neither the byte before an
-occurrence nor lists of occurrences: a repeat that isn't maximal to the left covers bytes that a maximal one covers too.
-``maximal_repeats`` does test the byte before and gives groups with all occurrences, but only for strings at hand;
-no query or stage calls it, and no operator gives such groups for a table."""
+A repeated string that is no group's has the occurrences of one that is, some bytes further on, so the bytes
+that groups cover are all that a string with an earlier start covers.
+
+Starts with a frequent minimiser have a finer key: the least hashes by further orders of the same strings of
+``GRAM`` bytes.  So a line in a third of all documents makes no bucket larger than others."""
 
 from __future__ import annotations
 
@@ -24,13 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MESSAGE, MESSAGE_SCHEMA, answer, batch, blocks, buckets, from_blob, id_out, mix, pack_arrays, resolve, scatter, texts, unpack_arrays
+from .common import MESSAGE, MESSAGE_SCHEMA, answer, batch, blocks, by_block, frequent, from_blob, mix, pack_arrays, resolve, scatter, texts, unpack_arrays
 from .windows import runs_within, sliding_min
 
 LEAST = 100
 GRAM = 24
 #: Bytes whose suffixes are sorted together, unless one minimiser's segments have more.
 SORTED = 1_000_000
+#: Further orders in the key of a frequent minimiser's starts.
+FINER = 8
+#: Bytes of minimisers and of segments that travel for each byte of the blocks.
+MOVED_VALUES, MOVED_SEGMENTS = 0.5, 1.3
 _LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _POWER = 0x9E3779B97F4A7C15
 
@@ -52,17 +57,27 @@ def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
         span *= 2
 
 
+def finer(hashes: np.ndarray, starts: np.ndarray, many: int) -> np.ndarray:
+    """A key of the least of ``many`` hashes from each start on, in ``FINER`` orders."""
+    out, windows = np.zeros(len(starts), np.uint64), np.lib.stride_tricks.sliding_window_view(hashes, many)
+    for at in range(0, len(starts), 4096):
+        some = windows[starts[at : at + 4096]]
+        for k in range(FINER):
+            out[at : at + 4096] = mix(out[at : at + 4096] + mix(some + _LETTERS[k]).min(1))
+    return out
+
+
 class Block:
     """The bytes of some documents and their segments."""
 
-    def __init__(self, blob: bytes, least: int, inside: bool = False):
-        """``inside``: find out too which segments have their minimiser twice, and so may repeat themselves."""
+    def __init__(self, blob: bytes, least: int, hot: np.ndarray = np.zeros(0, np.uint64), inside: bool = False):
+        """``hot``: sorted frequent minimisers.  ``inside``: find out too which segments have their minimiser twice, and so may repeat themselves."""
         gram = min(GRAM, least)
         self.ids, self.offsets, self.data = from_blob(blob)
         flat = np.frombuffer(self.data, np.uint8)
         sizes = np.diff(self.offsets)
         starts, lengths, value, of, twice = [], [], [], [], []
-        low, n = 0, len(self.ids)
+        low, n = 0, len(sizes)
         while low < n:  # pieces that stay in the processor's cache
             high = max(low + 1, int(np.searchsorted(self.offsets, self.offsets[low] + (1 << 18), "right")) - 1)
             base = self.offsets[low]
@@ -70,15 +85,18 @@ class Block:
             least_hash = sliding_min(hashes, least - gram + 1)
             document = np.repeat(np.arange(low, high), sizes[low:high])
             at = np.flatnonzero(document[: len(least_hash)] == document[least - 1 : least - 1 + len(least_hash)]) if len(least_hash) else np.zeros(0, np.int64)
-            s, m = runs_within(least_hash[at], document[at])
+            key = least_hash[at]
+            if len(hot) and len(often := np.flatnonzero(hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)):
+                key[often] = finer(hashes, at[often], least - gram + 1)
+            s, m = runs_within(key, document[at])
             starts.append(at[s] + base)
             lengths.append(m)
-            value.append(least_hash[at[s]])
+            value.append(key[s])
             of.append(document[at[s]])
             if inside and len(s):
                 each = m + least - gram
                 first = np.cumsum(each) - each
-                same = hashes[np.arange(int(each.sum())) + np.repeat(at[s] - first, each)] == np.repeat(value[-1], each)
+                same = hashes[np.arange(int(each.sum())) + np.repeat(at[s] - first, each)] == np.repeat(least_hash[at[s]], each)
                 twice.append(np.add.reduceat(same.astype(np.int32), first) > 1)
             low = high
         empty = [np.zeros(0, np.int64)]
@@ -97,16 +115,27 @@ class Block:
         a, b = self.starts[self.chosen].tolist(), (self.starts + self.lengths)[self.chosen].tolist()
         self.number = np.fromiter((numbers.setdefault(self.data[x:y], len(numbers)) for x, y in zip(a, b)), np.int64, len(a))
         self.strings = list(numbers)
-        doc, start = self.ids[self.of[self.chosen]], self.starts[self.chosen] - self.offsets[self.of[self.chosen]]
+        doc, start = self.ids.numbers[self.of[self.chosen]], self.starts[self.chosen] - self.offsets[self.of[self.chosen]]
         order = np.lexsort((start, doc, self.number))
         heads = order[np.concatenate([[True], np.diff(self.number[order]) > 0])] if len(order) else order
         self.place_doc, self.place_start, self.key = doc[heads], start[heads], self.value[self.chosen[heads]]
         self.later = (doc != self.place_doc[self.number]) | (start != self.place_start[self.number])
 
 
-def send_values(least: int, many: int):
+def minimisers(least: int):
+    """A block's distinct minimisers, and how many bytes each one's segments have."""
+
+    def run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+        own = Block(blob, least)
+        keys, of = np.unique(own.value, return_inverse=True)
+        return keys, np.bincount(of, own.lengths, len(keys))
+
+    return run
+
+
+def send_values(least: int, many: int, hot: np.ndarray):
     def run(block: int, blob: bytes):
-        own = Block(blob, least, inside=True)
+        own = Block(blob, least, hot, inside=True)
         value, of, counts = np.unique(own.value, return_inverse=True, return_counts=True)
         counts += np.bincount(of, own.twice, len(value)).astype(np.int64)
         bucket = (value % np.uint64(many)).astype(np.int64)
@@ -134,11 +163,11 @@ def repeated_values(own: list[int], payloads: list[bytes]):
             yield block, pack_arrays(np.sort(mine))
 
 
-def send_segments(least: int, many: int):
+def send_segments(least: int, many: int, hot: np.ndarray):
     """From a block and its repeated values: distinct segments to their buckets."""
 
     def run(block: int, blob: bytes, payloads: list[bytes]):
-        own = Block(blob, least)
+        own = Block(blob, least, hot)
         own.distinct(_wanted(payloads))
         bucket = (own.key % np.uint64(many)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -218,19 +247,34 @@ def intervals(common: np.ndarray, before: np.ndarray, least: int):
                 stack.append([low, size, letter])
 
 
+class Groups:
+    """The maximal repeats of some strings: suffixes of ``least`` bytes and more in order, and groups as intervals of them.
+
+    Occurrence r, of all those in a group's interval, is string ``text[r]`` from ``offset[r]`` on."""
+
+    def __init__(self, strings: list[bytes], least: int):
+        order, common, of, left = suffix_array(strings)
+        # suffixes too short for a repeat go; what they stood between has no common prefix that counts
+        kept = np.flatnonzero(left[order] >= least)
+        common = np.where(np.diff(kept, prepend=-2) == 1, common[kept], 0)
+        order = order[kept]
+        first = np.cumsum([0, *map(len, strings)])
+        flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.text = of[order]
+        self.offset = order - first[self.text]
+        before = np.where(self.offset == 0, -1, flat[np.maximum(order - 1, 0)].astype(np.int64)) if len(order) else np.zeros(0, np.int64)
+        #: (low, high, bytes), shorter ones behind longer ones inside
+        self.found = [(low, high, size) for low, high, size, differ in intervals(common, before, least) if differ]
+
+
 def maximal_repeats(strings: list[bytes], least: int = LEAST) -> list[tuple[bytes, list[tuple[int, int]]]]:
     """All maximal repeats of at least ``least`` bytes, each with all its occurrences (string, offset)."""
-    order, common, of, left = suffix_array(strings)
-    flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64)
-    first = np.cumsum([0, *map(len, strings)])
-    before = np.where(order == first[of[order]], -1, flat[np.maximum(order - 1, 0)])
-    found = []
-    for low, high, size, differ in intervals(common, before, least):
-        if differ:
-            where = sorted((int(of[p]), int(p - first[of[p]])) for p in order[low:high])
-            text, at = where[0]
-            found.append((strings[text][at : at + size], where))
-    return found
+    groups, out = Groups(strings, least), []
+    for low, high, size in groups.found:
+        where = sorted(zip(groups.text[low:high].tolist(), groups.offset[low:high].tolist()))
+        text, at = where[0]
+        out.append((strings[text][at : at + size], where))
+    return out
 
 
 def repeated_runs(strings: list[bytes], least: int) -> list[tuple[int, int, int]]:
@@ -256,51 +300,36 @@ def repeated_runs(strings: list[bytes], least: int) -> list[tuple[int, int, int]
 
 
 def later_spans(strings: list[bytes], places: list[tuple[int, int]], least: int) -> list[list[tuple[int, int]]]:
-    """For each string, spans of repeats with an earlier occurrence, maximal to the left or not; string k starts at ``places[k]``.
-
-    Goes through the tree once: when a node closes, the firsts of its children other than its own first get
-    its length, so each suffix gets the longest repeat in which it isn't first."""
-    order, common, of, left = suffix_array(strings)
-    first = np.cumsum([0, *map(len, strings)])
-    # suffixes too short for a repeat go; what they stood between has no common prefix that counts
-    kept = np.flatnonzero(left[order] >= least)
-    common = np.where(np.diff(kept, prepend=-2) == 1, common[kept], 0)
-    order = order[kept]
-    text = of[order]
-    offset = order - first[text]
+    """For each string, spans of the occurrences in ``Groups`` that aren't their group's first; string k starts at ``places[k]``.
+
+    Groups come longest first, so an occurrence gets its span from the first group in which it is a later one;
+    it needn't be looked at again in those around, which are shorter."""
+    groups = Groups(strings, least)
+    text, offset = groups.text, groups.offset
     doc, start = np.asarray(places, np.int64).reshape(-1, 2).T
     doc, start = doc[text], start[text] + offset
     by = np.lexsort((start, doc))
-    when = np.empty(len(order), np.int64)
+    when = np.empty(len(text), np.int64)
     when[by] = np.cumsum(np.concatenate([[0], (np.diff(doc[by]) != 0) | (np.diff(start[by]) != 0)])[: len(by)])
-    when, text, offset = when.tolist(), text.tolist(), offset.tolist()
     spans: list[list[tuple[int, int]]] = [[] for _ in strings]
-    values = common.tolist()
-    values.append(0)
-
-    def give(i: int, size: int) -> None:
-        spans[text[i]].append((offset[i], offset[i] + size))
-
-    stack: list[list[int]] = []  # bytes, rank of the first occurrence so far
-    for i in range(1, len(values)):
-        size = values[i] if values[i] >= least else 0
-        lead = i - 1
-        while stack and stack[-1][0] > size:
-            bytes_, head = stack.pop()
-            if when[lead] != when[head]:
-                if when[lead] < when[head]:
-                    lead, head = head, lead
-                give(lead, bytes_)
-            lead = head
-        if size:
-            if stack and stack[-1][0] == size:
-                head = stack[-1][1]
-                if when[lead] != when[head]:
-                    if when[lead] < when[head]:
-                        stack[-1][1], lead = lead, head
-                    give(lead, size)
-            else:
-                stack.append([size, lead])
+    when, text, offset = when.tolist(), text.tolist(), offset.tolist()
+    head = list(range(len(when) + 1))  # from each occurrence on, the next that has no span yet
+
+    def open_from(r: int) -> int:
+        while head[r] != r:
+            head[r] = r = head[head[r]]
+        return r
+
+    for low, high, size in groups.found:
+        own, r = [], open_from(low)
+        while r < high:
+            own.append(r)
+            r = open_from(r + 1)
+        first = min([when[x] for x in own])  # a group's first has no span from a group inside
+        for x in own:
+            if when[x] != first:
+                spans[text[x]].append((offset[x], offset[x] + size))
+                head[x] = x + 1
     return spans
 
 
@@ -378,9 +407,9 @@ def _again(string: bytes, least: int) -> bool:
 OUT = pa.schema([("doc_id", pa.int64()), ("text_md5", pa.string()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
-def _finish(least: int, digest: bool, characters: bool):
+def _finish(least: int, hot: np.ndarray, digest: bool, characters: bool):
     def run(blob: bytes, payloads: list[bytes]) -> pa.RecordBatch:
-        own = Block(blob, least)
+        own = Block(blob, least, hot)
         own.distinct(_wanted(payloads))
         change = np.zeros(len(own.data) + 1, np.int64)
         begin = own.starts[own.chosen]
@@ -411,7 +440,7 @@ def _finish(least: int, digest: bool, characters: bool):
             text = flat[x:y][~lost].tobytes() if n else own.data[x:y]
             kept.append(hashlib.sha256(text).digest() if digest else text)
             md5.append(hashlib.md5(own.data[x:y]).hexdigest())
-        return batch(OUT, doc_id=own.ids, text_md5=md5, n_bytes=np.diff(own.offsets), n_removed=removed, n_spans=spans, kept=kept)
+        return batch(OUT, doc_id=own.ids.column(), text_md5=md5, n_bytes=np.diff(own.offsets), n_removed=removed, n_spans=spans, kept=kept)
 
     return run
 
@@ -422,25 +451,18 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, digest: bool = False, ch
     has the remaining bytes or their SHA-256.  ``kept`` need not be UTF-8, unless ``characters`` are asked
     for: then those of which a byte stays do stay whole.
 
-    Null texts are empty.  Rows with the same id start at the same places, so neither is earlier."""
-    many = buckets(docs.sparkSession)
+    Null texts are empty.  Rows with the same id start at the same places, so neither is earlier; a row
+    without an id comes after all others."""
     stored = blocks(texts(docs))
-    values = answer(scatter(stored, send_values(least, many)), repeated_values)
-    segment, both = send_segments(least, many), _together(stored, values)
+    hot = frequent(stored, minimisers(least), 1 / (4 * stored.buckets(MOVED_SEGMENTS)))
+    many = stored.buckets(MOVED_VALUES)
+    values = answer(scatter(stored, send_values(least, many, hot)), many, repeated_values)
+    many = stored.buckets(MOVED_SEGMENTS)
+    segment = send_segments(least, many, hot)
 
-    def ship(group: pa.Table) -> pa.Table:
-        block, blob, payloads = _open(group)
+    def ship(block: int, blob: bytes, payloads: list[bytes]) -> pa.Table:
         rows = list(segment(block, blob, payloads))
         return pa.Table.from_batches([batch(MESSAGE_SCHEMA, bucket=[r[0] for r in rows], block=[block] * len(rows), payload=[r[1] for r in rows])])
 
-    replies = answer(both.groupBy("block").applyInArrow(ship, MESSAGE), reply(least))
-    return resolve(stored, values.unionByName(replies), _finish(least, digest, characters), "doc_id long, text_md5 string, n_bytes long, n_removed long, n_spans long, kept binary").withColumn("doc_id", id_out())
-
-
-def _together(stored: DataFrame, payloads: DataFrame) -> DataFrame:
-    return stored.select("block", "blob", F.lit(None).cast("binary").alias("payload")).unionByName(payloads.select("block", F.lit(None).cast("binary").alias("blob"), "payload"))
-
-
-def _open(group: pa.Table) -> tuple[int, bytes, list[bytes]]:
-    blob = next(x for x in group.column("blob").to_pylist() if x is not None)
-    return group.column("block")[0].as_py(), blob, [x for x in group.column("payload").to_pylist() if x is not None]
+    replies = answer(by_block(stored, values, ship, MESSAGE), many, reply(least))
+    return resolve(stored, values.unionByName(replies), _finish(least, hot, digest, characters), "doc_id long, text_md5 string, n_bytes long, n_removed long, n_spans long, kept binary")

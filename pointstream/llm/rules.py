@@ -2,8 +2,11 @@
 
 Counts of each text, and a score: the mean log-likelihood ratio of its hashed words and word pairs between
 two multinomials, one of trusted documents and one of all.  Trusted are documents that ``labels`` calls good;
-a bounded sample of labels is used, half of it for the multinomial and half for the threshold, which lies
-below nearly all trusted documents.  Counts of the raw side cover every document."""
+a bounded sample of labels is used, half of it for the multinomials and half for the threshold.  This lies
+between what nearly all trusted documents of that half have and the best of the others below.  Counts of the raw
+side cover every document.
+
+A text is split and its words are hashed once; pairs and triples of words are hashed from these numbers."""
 
 from __future__ import annotations
 
@@ -11,15 +14,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, id_out, texts
+from .common import texts
 
 #: Hash buckets of the multinomials.
 BUCKETS = 10_000
 #: Labels that are read at the most: those with the least hash of their doc_id.
 LABELS = 40_000
 MIN_WORDS = 50
-#: The threshold is this quantile of trusted documents' scores, less half its distance from their median.
-LOW = 0.001
+#: The threshold is half way from this quantile of trusted documents' scores to the highest lower score of one that
+#: isn't; without such a one, the quantile less half its distance from the median.
+LOW = 0.0005
 
 #: What separates words, and what counts as a symbol.
 SPACE = " \t\n\x0b\x0c\r"
@@ -39,9 +43,14 @@ def _upto(last: Column) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
+def _hashes(text: Column) -> Column:
+    return F.transform(_words(text), lambda w: F.xxhash64(w))
+
+
 def _grams(buckets: int) -> Column:
-    one = F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    two = F.transform(_upto(F.size("words") - 2), lambda i: F.pmod(F.xxhash64(F.get("words", i), F.get("words", i + 1)), F.lit(buckets)).cast("int"))
+    """Buckets of the words and of the pairs, from the words' ``hashes``."""
+    one = F.transform("hashes", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    two = F.transform(_upto(F.size("hashes") - 2), lambda i: F.pmod(F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1)), F.lit(buckets)).cast("int"))
     return F.concat(one, two)
 
 
@@ -53,16 +62,16 @@ def _settled(df: DataFrame) -> DataFrame:
 
 
 def counted(docs: DataFrame, *carried: str) -> DataFrame:
-    """doc_id, words, the counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and ``carried`` columns."""
+    """doc_id, the words' hashes, the counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and ``carried`` columns."""
     split = docs.select(
         "doc_id",
         *carried,
-        _words(F.col("text")).alias("words"),
+        _hashes(F.col("text")).alias("hashes"),
         _without(F.col("text"), SPACE).alias("word_chars"),
         (F.length("text") - _without(F.col("text"), SYMBOLS)).alias("n_symbols"),
         F.filter(F.split("text", "\n"), lambda x: _without(x, SPACE) > 0).alias("lines"),
     )
-    triples = F.transform(_upto(F.size("words") - 3), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
+    triples = F.transform(_upto(F.size("hashes") - 3), lambda i: F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)))
     hashed = split.select("*", (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"), triples.alias("triples"))
     # where a triple occurs twice, triples in order of hash and place show which have an equal neighbour
     sorted_ = hashed.withColumn("sorted", F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.array_sort(F.transform("triples", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
@@ -75,8 +84,8 @@ def counted(docs: DataFrame, *carried: str) -> DataFrame:
     return _settled(placed.select(
         "doc_id",
         *carried,
-        "words",
-        F.size("words").cast("long").alias("n_words"),
+        "hashes",
+        F.size("hashes").cast("long").alias("n_words"),
         F.col("word_chars").cast("long"),
         F.col("n_symbols").cast("long"),
         F.col("n_dup_lines").cast("long"),
@@ -92,7 +101,17 @@ def _scored(docs: DataFrame, ratios: np.ndarray) -> Column:
     table = F.split(F.lit(",".join(map(repr, ratios.tolist()))), ",").cast("array<double>")  # folded to one literal of a fixed size
     grams = _grams(len(ratios))
     total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(table, g))
-    return F.when(F.size("words") > 0, total / (2 * F.size("words") - 1)).otherwise(F.lit(0.0))
+    return F.when(F.size("hashes") > 0, total / (2 * F.size("hashes") - 1)).otherwise(F.lit(0.0))
+
+
+def cut(scores: list[tuple[float, bool]], low: float = LOW) -> float:
+    """The threshold from (score, whether trusted) of labelled documents."""
+    good, rest = np.asarray([s for s, g in scores if g]), np.asarray([s for s, g in scores if not g])
+    if not len(good):
+        return float("-inf")
+    least, middle = np.quantile(good, [low, 0.5])
+    below = rest[rest < least]
+    return float((least + below.max()) / 2 if len(below) else least - (middle - least) / 2)
 
 
 def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: int = LABELS) -> DataFrame:
@@ -100,18 +119,19 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: in
 
     Null texts are empty; they fail, as all with fewer than ``MIN_WORDS`` words do.  Without any trusted
     document nothing but the base rules rejects.  ``labels``: doc_id, quality; null and other values than 1
-    mean not trusted, and of several rows the largest quality counts."""
+    mean not trusted, and of several rows the largest quality counts.  A row without an id has no label; repeated
+    rows are judged each, with the same verdict, and all count; an empty table gives no rows."""
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    rows = rows.select("row", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text"))
     docs = texts(docs)
     order = F.xxhash64(F.col("doc_id").cast("long"))
-    trusted = (
+    labelled = (
         labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
         .where("doc_id is not null").orderBy(order, "doc_id").limit(sample)  # the bound of what is broadcast
-        .where("quality = 1").select("doc_id", (F.pmod(F.shiftright(F.xxhash64("doc_id"), 20), F.lit(2)) == 0).alias("half"))
+        .select("doc_id", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("good"), (F.pmod(F.shiftright(F.xxhash64("doc_id"), 20), F.lit(2)) == 0).alias("half"))
     )
-    marked = docs.join(F.broadcast(trusted), "doc_id", "left")
-    grams = marked.select("half", _words(F.col("text")).alias("words")).select("half", F.explode(_grams(buckets)).alias("g"))
+    marked = docs.join(F.broadcast(labelled.where("good and half").select("doc_id", "half")), "doc_id", "left")
+    grams = marked.select("half", _hashes(F.col("text")).alias("hashes")).select("half", F.explode(_grams(buckets)).alias("g"))
     counts = grams.groupBy("g").agg(F.count("*").alias("raw"), F.count_if("half").alias("target")).collect()  # ``buckets`` rows at the most
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
@@ -120,10 +140,10 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: in
     ratios = np.zeros(buckets)
     if target.sum():
         ratios = np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
-        rest = counted(docs.join(F.broadcast(trusted.where("not half")), "doc_id")).where(~_base_failed())
-        low, middle = rest.select(_scored(rest, ratios).alias("score")).agg(F.percentile("score", F.array(F.lit(LOW), F.lit(0.5)))).first()[0] or (None, None)
-        if low is not None:
-            threshold = low - (middle - low) / 2
+        # one score for each label
+        rest = counted(docs.join(F.broadcast(labelled.where("not half").select("doc_id", "good")), "doc_id"), "good").where(~_base_failed())
+        rest = rest.select("doc_id", "good", _scored(rest, ratios).alias("score")).groupBy("doc_id").agg(F.first("good").alias("good"), F.min("score").alias("score"))
+        threshold = cut([(r["score"], r["good"]) for r in rest.collect()])
     rows = counted(rows, "row")
-    rows = rows.select(*(c for c in rows.columns if c != "words"), _scored(rows, ratios).alias("score")).withColumn("base_failed", _base_failed())
-    return _settled(rows).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))).withColumn("doc_id", id_out())
+    rows = rows.select(*(c for c in rows.columns if c != "hashes"), _scored(rows, ratios).alias("score")).withColumn("base_failed", _base_failed())
+    return _settled(rows).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))

@@ -4,22 +4,28 @@ A window is ``width`` consecutive words of one document.  Windows in a row that
 hash of ``WIDE`` words inside) travel as one string, a super-k-mer, to the bucket of that minimiser, so equal
 windows meet in one bucket.  Documents are handled in blocks: a block sends each distinct super-k-mer once,
 with the smallest doc_id that has it, so a passage in a third of all rows costs a row a block.  A bucket sorts
-its windows and answers which ones start in a smaller document than the sender's smallest."""
+its windows and answers which ones start in a smaller document than the sender's smallest.
+
+Windows of a frequent minimiser travel one by one, dealt by a hash of all their words, so that no minimiser,
+however frequent, makes a bucket larger than others."""
 
 from __future__ import annotations
 
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import answer, batch, blocks, buckets, from_blob, id_out, mix, pack_arrays, resolve, scatter, texts, unpack_arrays
+from .common import answer, batch, blocks, frequent, from_blob, mix, pack_arrays, resolve, scatter, texts, unpack_arrays
 
 WIDTH = 13
 #: Words in what minimisers are chosen from: single words would make hot buckets.
 WIDE = 3
+#: Bytes of messages for each byte of the blocks.
+MOVED = 3.4
 _PLACES = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -45,12 +51,14 @@ def runs_within(value: np.ndarray, document: np.ndarray) -> tuple[np.ndarray, np
 class Block:
     """The words of some documents and their super-k-mers; the same blob always gives the same ones."""
 
-    def __init__(self, blob: bytes, width: int):
+    def __init__(self, blob: bytes, width: int, hot: np.ndarray = np.zeros(0, np.uint64)):
+        """``hot``: sorted minimisers whose windows are super-k-mers of their own."""
         self.ids, offsets, data = from_blob(blob)
         split = [data[a:b].split() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
         self.counts = np.asarray([len(s) for s in split], np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
         self.words = words = [w for s in split for w in s]
+        del split
         number = {w: k for k, w in enumerate(dict.fromkeys(words))}
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
         flat = hashes[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
@@ -59,25 +67,43 @@ class Block:
         for k in range(wide):
             grams += flat[k : k + len(grams)] * _PLACES[k]
         least = sliding_min(mix(grams), width - wide + 1)
-        document = np.repeat(np.arange(len(self.ids)), self.counts)
+        document = np.repeat(np.arange(len(self.counts)), self.counts)
         at = np.flatnonzero(document[: len(least)] == document[width - 1 : width - 1 + len(least)]) if len(least) else np.zeros(0, np.int64)
-        starts, self.lengths = runs_within(least[at], document[at])
-        self.starts, self.least = at[starts], least[at[starts]]  # word positions; windows in a row are as many
+        key = least[at]
+        if len(hot):
+            often = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key)
+            whole = np.zeros(len(often), np.uint64)
+            for k in range(width):
+                whole += flat[at[often] + k] * _PLACES[64 + k]
+            key[often] = mix(whole)  # differs from window to window
+        starts, self.lengths = runs_within(key, document[at])
+        self.starts, self.key_of = at[starts], key[starts]  # word positions; windows in a row are as many
         self.of = document[self.starts]
         numbers: dict[bytes, int] = {}
         ends = self.starts + self.lengths + width - 1
         self.kmer = np.fromiter((numbers.setdefault(b" ".join(words[a:b]), len(numbers)) for a, b in zip(self.starts.tolist(), ends.tolist())), np.int64, len(ends))
         self.strings = list(numbers)
         self.smallest = np.full(len(numbers), np.iinfo(np.int64).max)
-        np.minimum.at(self.smallest, self.kmer, self.ids[self.of])
+        np.minimum.at(self.smallest, self.kmer, self.ids.numbers[self.of])
         first = np.zeros(len(numbers), np.int64)
         first[self.kmer[::-1]] = np.arange(len(self.kmer))[::-1]
-        self.key = self.least[first]
+        self.key = self.key_of[first]
 
 
-def send(width: int, many: int):
-    def run(block: int, blob: bytes):
+def minimisers(width: int):
+    """The distinct minimisers of a block's super-k-mers, and how many words each one's super-k-mers have."""
+
+    def run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
         own = Block(blob, width)
+        keys, of = np.unique(own.key_of, return_inverse=True)
+        return keys, np.bincount(of, own.lengths + width - 1, len(keys))
+
+    return run
+
+
+def send(width: int, many: int, hot: np.ndarray):
+    def run(block: int, blob: bytes):
+        own = Block(blob, width, hot)
         bucket = (own.key % np.uint64(many)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -114,16 +140,16 @@ def reply(width: int):
         smallest = np.concatenate([e[0] for e in entries])
         sender = np.repeat(np.arange(len(entries)), [len(e[0]) for e in entries])
         number: dict[bytes, int] = {}
-        counts, flat = [], []
+        counts, flat = [], array("i")
         for _, _, lengths, data in entries:
             raw, at = data.tobytes(), 0
             for n in lengths.tolist():
                 words = raw[at : at + n].split(b" ")
                 counts.append(len(words))
-                flat += [number.setdefault(w, len(number)) for w in words]
+                flat.extend([number.setdefault(w, len(number)) for w in words])
                 at += n
-        columns, counts = np.asarray(flat, np.int32), np.asarray(counts, np.int64)
-        del flat
+        columns, counts = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.asarray(counts, np.int64)
+        del number
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
         windows = counts - width + 1
         entry = np.repeat(np.arange(len(counts)), windows)
@@ -150,7 +176,7 @@ def covered(own: Block, payloads: list[bytes], width: int) -> np.ndarray:
     """Which words to remove."""
     change = np.zeros(len(own.words) + 1, np.int64)
     # the block itself knows of a smaller document for all but the smallest
-    own_later = np.flatnonzero(own.ids[own.of] > own.smallest[own.kmer])
+    own_later = np.flatnonzero(own.ids.numbers[own.of] > own.smallest[own.kmer])
     np.add.at(change, own.starts[own_later], 1)
     np.add.at(change, own.starts[own_later] + own.lengths[own_later] + width - 1, -1)
     if payloads:
@@ -168,9 +194,9 @@ def covered(own: Block, payloads: list[bytes], width: int) -> np.ndarray:
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
-def _finish(width: int, digest: bool):
+def _finish(width: int, digest: bool, hot: np.ndarray):
     def run(blob: bytes, payloads: list[bytes]) -> pa.RecordBatch:
-        own = Block(blob, width)
+        own = Block(blob, width, hot)
         gone = covered(own, payloads, width)
         kept = []
         for a, b in zip(own.first[:-1].tolist(), own.first[1:].tolist()):
@@ -179,7 +205,7 @@ def _finish(width: int, digest: bool):
             text = b" ".join(words)
             kept.append(hashlib.sha256(text).digest() if digest else text)
         removed = np.add.reduceat(np.concatenate([gone, [False]]).astype(np.int64), own.first[:-1]) * (own.counts > 0)
-        return batch(OUT, doc_id=own.ids, n_words=own.counts, n_removed=removed, kept=kept)
+        return batch(OUT, doc_id=own.ids.column(), n_words=own.counts, n_removed=removed, kept=kept)
 
     return run
 
@@ -190,8 +216,9 @@ def remove_repeated_windows(docs: DataFrame, width: int = WIDTH, digest: bool =
     SHA-256 of that.
 
     Null texts have no words.  Texts with fewer than ``width`` words stay whole.  Rows with the same id are
-    no smaller than each other."""
+    no smaller than each other; a row without an id comes after all others."""
     stored = blocks(texts(docs))
-    messages = scatter(stored, send(width, buckets(docs.sparkSession)))
-    replies = answer(messages, reply(width))
-    return resolve(stored, replies, _finish(width, digest), "doc_id long, n_words long, n_removed long, kept binary").withColumn("doc_id", id_out())
+    many = stored.buckets(MOVED)
+    hot = frequent(stored, minimisers(width), 1 / (4 * many))
+    replies = answer(scatter(stored, send(width, many, hot)), many, reply(width))
+    return resolve(stored, replies, _finish(width, digest, hot), "doc_id long, n_words long, n_removed long, kept binary")
