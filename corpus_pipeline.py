@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pointstream.llm import near, packing, repeats, rules
 from pointstream.llm.chunks import vocabulary
-from pointstream.llm.common import LAST_ID, shared_folder, table
+from pointstream.llm.common import shared_folder, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,29 +21,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the smallest id, null being the largest.
+    """One document of each group of near-duplicates: the one of the smallest id, a row without an id coming last.
 
-    Rows with equal id and text are one document, of which one row stays; others with the same id, or none, stand alone."""
-    id_, text = F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)), F.coalesce(docs["text"].cast("string"), F.lit(""))
-    work = F.shiftrightunsigned(F.xxhash64(id_, text), 1).alias("work")
+    Rows with equal id and text are one document, of which one row stays; others with the same id, or none, stand alone.
+    Documents without words, null texts among them, link with nothing; an empty table stays one."""
+    own = F.struct(F.col("doc_id").cast("long").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"))
+    work = F.shiftrightunsigned(F.xxhash64(own, F.coalesce(docs["text"].cast("string"), F.lit(""))), 1).alias("work")
     found = near.near_duplicates(docs.select(work.alias("doc_id"), "text"), percent=80)
     groups = found.select(F.col("doc_id").alias("work"), "component_id").distinct()
-    first = F.min(F.struct("id", "work"))["work"].alias("work")
-    kept = docs.select(work, id_.alias("id")).distinct().join(groups, "work").groupBy("component_id").agg(first).select("work")
+    first = F.min(F.struct("own", "work"))["work"].alias("work")
+    kept = docs.select(work, own.alias("own")).distinct().join(groups, "work").groupBy("component_id").agg(first).select("work")
     rows = docs.select(F.struct(*docs.columns).alias("row"), work)
     return rows.join(kept, "work", "left_semi").dropDuplicates(["work"]).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that stand earlier, n_chars as they are now; documents of which nothing is left go."""
-    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID)).alias("key")
-    found = repeats.remove_repeats(docs, characters=True).select(key("doc_id"), "text_md5", F.col("kept").cast("string").alias("cut"))
-    # repeated rows have equal results; the new text moves once, the old one not at all
+    """Texts without passages that stand earlier, n_chars as they are now; documents of which nothing is left go, and so do
+    those with an empty or null text.  Repeated rows have equal results; an empty table stays one."""
+    found = repeats.remove_repeats(docs, characters=True).select(F.col("doc_id").alias("key"), "text_md5", F.col("kept").cast("string").alias("cut"))
+    # the new text moves once, the old one not at all
     found = found.dropDuplicates(["key", "text_md5"])
     others = F.struct(*(docs[c] for c in docs.columns if c not in ("text", "n_chars"))).alias("row")
-    rest = docs.select(others, key("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"))
+    rest = docs.select(others, F.col("doc_id").cast("long").alias("id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("md5"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
-    joined = rest.join(found, ["key", "text_md5"]).where("cut <> ''")
+    joined = rest.join(found, (F.col("md5") == F.col("text_md5")) & F.col("id").eqNullSafe(F.col("key"))).where("cut <> ''")
     return joined.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
