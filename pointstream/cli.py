@@ -6,6 +6,7 @@ import argparse
 import os
 import sys
 import tempfile
+import uuid
 
 from .functions.units import HIGHEST, LOWEST, PRECISIONS, parse_byte_size, parse_rename, parse_time, show_time
 from .operators.chunking import DEFAULT_BYTES, MOST_BYTES
@@ -30,12 +31,28 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--precision", choices=sorted(PRECISIONS), default="ns")
     p.add_argument("--chunk-bytes", type=parse_byte_size, default=DEFAULT_BYTES)
     p.add_argument("--workers", type=int, default=2)
-    p.add_argument("--ledger", default="pointstream.db")
-    p.add_argument("--staging", help="folder for chunks that all executors share")
-    p.add_argument("--verbose", action="store_true")
+    p.add_argument("--ledger", default="pointstream-ledger", help="folder that the driver and all executors share")
+    p.add_argument("--staging", help="folder for lines meanwhile that all executors share; below spark.checkpoint.dir if not given")
+    p.add_argument("--verbose", action="store_true", help="a line for each chunk and shard")
     return p
 
 
+def staging(spark, given: str | None) -> str:
+    """A new folder that all executors see: below the one given or ``spark.checkpoint.dir``; a temporary one on a local master only."""
+    top = given or spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise SystemExit("--staging or spark.checkpoint.dir must name a folder that all executors share")
+        top = tempfile.gettempdir()
+    return f"{top.rstrip('/')}/staging-{uuid.uuid4().hex}"
+
+
+def remove(spark, folder: str) -> None:
+    """Through Spark's file systems, as the folder may be in any store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def find_shards(args) -> list[catalog.Shard]:
     data, layout = catalog.detect(args.datadir)
     if layout == catalog.UNKNOWN:
@@ -71,17 +88,28 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("pointstream").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     shards = find_shards(args)
     settings = load.Settings(args.start, args.end, args.chunk_bytes, args.precision, parse_rename(args.db_map), args.workers)
+    if args.verbose:
+        for s in shards:
+            print(f"{s.database}/{s.retention}/{s.shard_id}: {len(s.tsm_files)} column files, {len(s.wal_files)} logs")
     if args.dry_run:
         found = load.dry_run(spark, shards, settings, args.sample)
+        keys = {r["database"]: r for r in found["database_keys"].collect()}  # a row for each database, as all tables here
+        samples = found["samples"].orderBy("database", "nth").collect()
         for r in found["databases"].orderBy("database").collect():
-            print(f"{r['database']}: {r['shards']} shards, {r['points']} points, {r['fields']} fields, {show_time(r['min_ts'])} to {show_time(r['max_ts'])}")
-        for r in found["samples"].orderBy("database", "nth").collect():
-            print(r["lp"], end="")
-        print(found["total"].first())
+            target, k = settings.rename.get(r["database"], r["database"]), keys[r["database"]]
+            print(f"{r['database']}" + (f" to {target}" if target != r["database"] else "") + f": {r['shards']} shards, {r['points']} points, {r['fields']} fields, {k['keys']} keys, {k['wal_keys']} keys in logs, {k['skipped']} keys skipped, {show_time(r['min_ts'])} to {show_time(r['max_ts'])}")
+            for x in samples:
+                if x["database"] == r["database"]:
+                    print(x["lp"], end="")
+        total = found["total"].first()
+        print(f"in all: {total['points']} points, {total['fields']} fields, {total['databases']} databases")
         return 0
-    with Ledger(args.ledger) as ledger:
-        done = load.load(spark, shards, Sink(args.url, args.token, args.precision, database_header=args.database_header), ledger, settings, args.staging or tempfile.mkdtemp(prefix="chunks-"))
-        print(done, "ledger:", ledger.summary())
+    ledger, folder = Ledger(args.ledger), staging(spark, args.staging)
+    try:
+        done = load.load(spark, shards, Sink(args.url, args.token, args.precision, database_header=args.database_header), ledger, settings, folder, verbose=args.verbose)
+    finally:
+        remove(spark, folder)
+    print(done, "ledger:", ledger.summary(spark))
     return 0
 
 

@@ -61,11 +61,18 @@ def format_float(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else shortest(float(v)))
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def format_floats(values: pd.Series) -> pd.Series:
+    """The same for arrays of doubles; no array gives none."""
+    return values.map(lambda v: None if v is None else [shortest(float(x)) for x in v])
+
+
 def format_short_decimal(value: Column) -> Column:
     """In the JVM, for doubles below a million that have at most six decimals; null for others."""
-    plain = F.regexp_replace(F.regexp_replace(value.cast("decimal(14,6)").cast("string"), "0+$", ""), r"\.$", "")
+    plain = F.rtrim(F.rtrim(value.cast("decimal(14,6)").cast("string"), F.lit("0")), F.lit("."))
+    zero = F.when(value.cast("string") == "-0.0", "-0").otherwise("0")
     short = (F.abs(value) < 10**HIGH_EXPONENT) & (F.round(value, 6) == value) & ((F.abs(value) >= 1e-4) | (value == 0))
-    return F.when(short, F.when(plain == "0.", "0").otherwise(plain))
+    return F.when(short, F.when(value == 0, zero).otherwise(plain))
 
 
 def format_value(field: Column, float_text: Column) -> Column:

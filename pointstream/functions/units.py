@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from datetime import datetime, timezone
 
@@ -58,9 +59,8 @@ def parse_rename(pairs: list[str]) -> dict[str, str]:
     return out
 
 
-def fingerprint(chunk_bytes: int, start: int, end: int, precision: str, renames: dict[str, str], files: list[tuple[str, int, int]] = ()) -> str:
-    """All that decides where chunks are cut, with the files read, so that a resumed run can tell a change."""
-    parts = [f"chunk={chunk_bytes}", f"start={start}", f"end={end}", f"precision={precision}"]
-    parts.append("rename=" + ",".join(f"{a}={b}" for a, b in sorted(renames.items())))
-    parts.append("files=" + ",".join(f"{name}:{size}:{changed}" for name, size, changed in sorted(files)))
-    return ";".join(parts)
+def fingerprint(chunk_bytes: int, start: int, end: int, precision: str, renames: dict[str, str], files: list[tuple[str, int, int]] = ()) -> dict[str, str]:
+    """All that decides where chunks are cut, by name, with the files read, so that a resumed run can tell a change."""
+    stamps = hashlib.sha256("\n".join(f"{name}:{size}:{changed}" for name, size, changed in sorted(files)).encode()).hexdigest()
+    renamed = ",".join(f"{a}={b}" for a, b in sorted(renames.items()))
+    return {"chunk size": str(chunk_bytes), "start": str(start), "end": str(end), "precision": precision, "renames": renamed, "input files": stamps}

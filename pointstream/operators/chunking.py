@@ -1,8 +1,9 @@
 """Byte-bounded chunks, the same ones in every run.
 
 A line goes to the open chunk unless that would then hold more than the limit; a line as large as the limit is
-a chunk of its own.  Cuts depend on all cuts before, so a shard's lines pass one cutter in order; the rows that
-do are narrow positions, not texts, unless texts are asked for."""
+a chunk of its own.  Cuts depend on all cuts before, so a shard's lines pass one cutter in order; what passes are
+keys, times and sizes only, never the lines, which get their numbers back by a join on the key that they were
+put together by."""
 
 from __future__ import annotations
 
@@ -40,24 +41,29 @@ def cut(sizes: Iterable[int], limit: int) -> list[int]:
     return [cutter.add(s) for s in sizes]
 
 
-def numbered(lines: DataFrame, limit: int = DEFAULT_BYTES) -> DataFrame:
-    """``lines`` in order within their shards, with ``seq``, their chunk's number."""
-    names = lines.columns
-    key, size = [names.index(c) for c in SHARD_KEY], names.index("nbytes")
+def numbers(lines: DataFrame, limit: int = DEFAULT_BYTES) -> DataFrame:
+    """(shard, series_key, ts_ns, nbytes, seq): each line's chunk, in order within the shards."""
+    narrow = lines.select(*SHARD_KEY, "series_key", "ts_ns", F.col("nbytes").cast("long").alias("nbytes"))
+    names = narrow.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, cutter = None, Cutter(limit)
         for b in batches:
             seq = []
-            for now, n in zip(zip(*(b.column(k).to_pylist() for k in key)), b.column(size).to_pylist()):
+            for *now, n in zip(*(b.column(c).to_pylist() for c in (*SHARD_KEY, "nbytes"))):
                 if now != shard:
                     shard, cutter = now, Cutter(limit)
                 seq.append(cutter.add(n))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(seq, pa.int32())], names=[*names, "seq"])
 
-    schema = T.StructType([*lines.schema, T.StructField("seq", T.IntegerType())])
-    return lines.repartition(*SHARD_KEY).sortWithinPartitions(*SHARD_KEY, "series_key", "ts_ns").mapInArrow(run, schema)
+    schema = T.StructType([*narrow.schema, T.StructField("seq", T.IntegerType())])
+    return narrow.repartition(*SHARD_KEY).sortWithinPartitions(*SHARD_KEY, "series_key", "ts_ns").mapInArrow(run, schema)
+
+
+def numbered(lines: DataFrame, limit: int = DEFAULT_BYTES) -> DataFrame:
+    """``lines`` with ``seq``, their chunk's number.  ``lines`` is read twice, so it had better be stored."""
+    return lines.join(numbers(lines, limit).drop("nbytes"), [*SHARD_KEY, "series_key", "ts_ns"])
 
 
-def chunk_sizes(numbered_: DataFrame) -> DataFrame:
-    return numbered_.groupBy(*SHARD_KEY, "seq").agg(F.count("*").alias("nlines"), F.sum("nbytes").alias("nbytes"))
+def chunk_sizes(numbers_: DataFrame) -> DataFrame:
+    return numbers_.groupBy(*SHARD_KEY, "seq").agg(F.count("*").alias("nlines"), F.sum("nbytes").alias("nbytes"))

@@ -5,10 +5,8 @@ time, field) as well."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import keys, lineproto
 from ..functions.units import HIGHEST, LOWEST
@@ -40,24 +38,18 @@ def points(values: DataFrame, start: int = LOWEST, end: int = HIGHEST) -> DataFr
     return won.groupBy(*POINT_KEY).agg(F.array_sort(F.collect_list(entry)).alias("fields"))
 
 
-def lines(points_: DataFrame, native_floats: bool = False) -> DataFrame:
-    """(shard, series_key, ts_ns, n_fields, lp, nbytes).  ``native_floats``: all floats have at most six decimals, and no Python is needed."""
-    if not native_floats:
-        floats = F.transform(F.filter("fields", lambda f: f["value"]["vtype"] == FLOAT), lambda f: f["value"]["v_float"])
-        points_ = points_.withColumn("float_texts", _texts(floats)).withColumn("float_names", F.transform(F.filter("fields", lambda f: f["value"]["vtype"] == FLOAT), lambda f: f["name"]))
-
-    def text(f):
-        value = f["value"]
-        if native_floats:
-            return lineproto.format_value(value, lineproto.format_short_decimal(value["v_float"]))
-        return lineproto.format_value(value, F.get("float_texts", F.array_position("float_names", f["name"]).cast("int") - 1))
-
-    fields = F.transform("fields", lambda f: F.struct(f["name"].alias("name"), text(f).alias("text")))
+def lines(points_: DataFrame) -> DataFrame:
+    """(shard, series_key, ts_ns, n_fields, lp, nbytes), and further columns of ``points_``.  Only floats that the JVM can't write as short decimals go to Python."""
+    is_float = lambda f: f["value"]["vtype"] == FLOAT
+    short = lambda f: lineproto.format_short_decimal(f["value"]["v_float"])
+    # an array of a point's other floats, by place; null for most points
+    rest = F.filter("fields", lambda f: is_float(f) & short(f).isNull())
+    hard = F.when(F.size(rest) > 0, F.transform(rest, lambda f: f["value"]["v_float"]))
+    names = F.when(F.size(rest) > 0, F.transform(rest, lambda f: f["name"]))
+    points_ = points_.withColumns({"hard_texts": lineproto.format_floats(hard), "hard_names": names})
+    by_name = lambda f: F.get("hard_texts", F.array_position("hard_names", f["name"]).cast("int") - 1)
+    fields = F.transform("fields", lambda f: F.struct(f["name"].alias("name"), lineproto.format_value(f["value"], F.coalesce(short(f), by_name(f))).alias("text")))
     series = F.col("series_key")
-    out = points_.select(*POINT_KEY, F.size("fields").alias("n_fields"), lineproto.encode(keys.measurement(series), keys.tags(series), fields, F.col("ts_ns")).alias("lp"))
+    more = [c for c in points_.columns if c not in (*POINT_KEY, "fields", "hard_texts", "hard_names")]
+    out = points_.select(*POINT_KEY, *more, F.size("fields").alias("n_fields"), lineproto.encode(keys.measurement(series), keys.tags(series), fields, F.col("ts_ns")).alias("lp"))
     return out.withColumn("nbytes", F.octet_length("lp"))
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _texts(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: [lineproto.shortest(float(x)) for x in v])

@@ -34,10 +34,16 @@ def grand_total(shards: DataFrame) -> DataFrame:
     return shards.agg(F.coalesce(F.sum("points"), F.lit(0)).alias("points"), F.coalesce(F.sum("fields"), F.lit(0)).alias("fields"), F.countDistinct("database").alias("databases"))
 
 
-def samples(lines: DataFrame, many: int = 5) -> DataFrame:
-    """The first lines of each database in the order of delivery; the limit runs before the exchange too."""
+def database_keys(keys: DataFrame) -> DataFrame:
+    """Sums of ``key_stats`` over the shards of a database."""
+    return keys.groupBy("database").agg(*(F.sum(c).alias(c) for c in ("keys", "wal_keys", "skipped")))
+
+
+def samples(points: DataFrame, many: int = 5) -> DataFrame:
+    """The first points of each database in the order of delivery, with ``nth``; the limit runs before the exchange too,
+    and only these points need be written as lines."""
     order = Window.partitionBy("database").orderBy("retention", "shard_id", "series_key", "ts_ns")
-    return lines.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= many)
+    return points.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= many)
 
 
 def distinct_series(values: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejoin.lines(points(spark, sf_dir), native_floats=True)
+    return rejoin.lines(points(spark, sf_dir))
 
 
 _E = """WITH e AS (SELECT event_id, event_type, user_id, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, epoch_us(ts) AS us FROM events),
@@ -125,9 +125,9 @@ def lww_cross_source(spark, sf_dir):
 @query(_E + " SELECT series_key, field, ts_ns, file_seq, v_float, v_int FROM v WHERE src = 0 QUALIFY row_number() OVER (PARTITION BY series_key, field, ts_ns, file_seq ORDER BY ord DESC) = 1")
 def lww_intra_stream(spark, sf_dir):
     """Within one file the later place wins."""
-    one = rejoin.parsed(values(spark, sf_dir)).where("src = 0")
-    won = one.groupBy("series_key", "field", "ts_ns", "file_seq").agg(F.max_by(F.struct(*PAYLOAD_COLUMNS), "ord").alias("value"))
-    return won.select("series_key", "field", "ts_ns", F.col("file_seq").cast("bigint").alias("file_seq"), "value.v_float", "value.v_int")
+    one = rejoin.parsed(values(spark, sf_dir)).where("src = 0").withColumn("shard_id", F.col("file_seq").cast("string"))
+    won = rejoin.last_write_wins(one)
+    return won.select("series_key", "field", "ts_ns", F.col("shard_id").cast("bigint").alias("file_seq"), "value.v_float", "value.v_int")
 
 
 @query(_E + ", n AS (SELECT series_key, ts_ns, string_agg(DISTINCT field, ',' ORDER BY field) AS names FROM v GROUP BY ALL) SELECT names, count(*) AS points FROM n GROUP BY names")
@@ -150,7 +150,7 @@ FROM_NS, TO_NS = 1704672000000000000, 1705276800000000000
 def time_range_inclusive(spark, sf_dir):
     """Both ends are days that have points."""
     found = rejoin.points(values(spark, sf_dir), FROM_NS, TO_NS)
-    return rejoin.lines(found, native_floats=True).select("series_key", "ts_ns", "lp")
+    return rejoin.lines(found).select("series_key", "ts_ns", "lp")
 
 
 _PAGES = "WITH r AS (SELECT page_id, url, replace(replace(url, '=', '\\='), ',', '\\,') AS safe FROM pages), k AS (SELECT page_id, 'page,url=' || safe || ',id=' || page_id || '#!~#len#!~#x' AS raw, safe FROM r)"
@@ -249,31 +249,40 @@ def lp_encode_string(spark, sf_dir):
 
 
 @query(
-    "SELECT l_orderkey, l_linenumber, l_partkey, string_agg(DISTINCT 'line,flag=' || l_returnflag || ',supp=' || l_suppkey || ' discount=' || "
+    "SELECT l_orderkey, l_linenumber, l_partkey, 'line,flag=' || l_returnflag || ',supp=' || l_suppkey || ' discount=' || "
     + _FLOAT.format("l_discount") + " || ',price=' || " + _FLOAT.format("l_extendedprice") + " || ',qty=' || " + _FLOAT.format("l_quantity")
-    + " || ' ' || (epoch_us(l_shipdate) * 1000) || chr(10), '') AS lp FROM lineitem GROUP BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, l_extendedprice, l_discount, l_shipdate"
+    + " || ' ' || (epoch_us(l_shipdate) * 1000) || chr(10) AS lp FROM lineitem"
 )
 def lp_encode_point(spark, sf_dir):
     item = read(spark, sf_dir, "lineitem")
     names = {"discount": "l_discount", "price": "l_extendedprice", "qty": "l_quantity"}
     fields = F.array(*(F.struct(F.lit(n).alias("name"), lineproto.format_short_decimal(F.col(c)).alias("text")) for n, c in names.items()))
     tags = F.array(F.struct(F.lit("flag").alias("k"), F.col("l_returnflag").alias("v")), F.struct(F.lit("supp").alias("k"), F.col("l_suppkey").cast("string").alias("v")))
-    lp = lineproto.encode(F.lit("line"), tags, fields, micros("l_shipdate") * 1000)
-    return item.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate", lp.alias("lp")).distinct().select("l_orderkey", "l_linenumber", "l_partkey", "lp")
+    return item.select("l_orderkey", "l_linenumber", "l_partkey", lineproto.encode(F.lit("line"), tags, fields, micros("l_shipdate") * 1000).alias("lp"))
 
 
 @query(_POINTS + " SELECT series_key, series_key || ' ' || fields || ' ' || (ts_ns - 2000000000000000000) || chr(10) AS lp FROM l")
 def lp_negative_ts(spark, sf_dir):
     early = values(spark, sf_dir).withColumn("ts_ns", F.col("ts_ns") - 2_000_000_000_000_000_000)
     early = early.withColumn("shard_id", F.lit("0"))
-    return rejoin.lines(rejoin.points(early), native_floats=True).select("series_key", "lp")
+    return rejoin.lines(rejoin.points(early)).select("series_key", "lp")
 
 
-@query(_E + " SELECT database, count(*) FILTER (event_id % 5 = 0) AS skipped, count(*) FILTER (event_id % 5 <> 0) AS kept FROM h GROUP BY database")
-def skip_fieldless_keys(spark, sf_dir):
+def _fieldless(spark, sf_dir):
     """Every fifth event's keys lose their separator."""
-    first = values(spark, sf_dir).where("vtype = 0").withColumn("raw_key", F.when(F.col("ord") % 5 == 0, F.replace("raw_key", F.lit("#!~#"), F.lit("_"))).otherwise(F.col("raw_key")))
-    return first.groupBy("database").agg(F.count_if(keys.field_name(F.col("raw_key")).isNull()).alias("skipped"), F.count_if(keys.field_name(F.col("raw_key")).isNotNull()).alias("kept"))
+    return values(spark, sf_dir).withColumn("raw_key", F.when(F.col("ord") % 5 == 0, F.replace("raw_key", F.lit("#!~#"), F.lit("_"))).otherwise(F.col("raw_key")))
+
+
+_KEYS = (
+    _E
+    + """, o AS (SELECT DISTINCT database, shard_id, src, file_seq, CASE WHEN src = 1 THEN 0 END AS entry, series_key, field, ord % 5 = 0 AS lost FROM v),
+q AS (SELECT database, shard_id, count(*) FILTER (src = 0 AND NOT lost) AS keys, count(*) FILTER (src = 1 AND NOT lost) AS wal_keys, count(*) FILTER (lost) AS skipped FROM o GROUP BY ALL)"""
+)
+
+
+@query(_KEYS + " SELECT database, CAST(sum(keys) AS BIGINT) AS keys, CAST(sum(wal_keys) AS BIGINT) AS wal_keys, CAST(sum(skipped) AS BIGINT) AS skipped FROM q GROUP BY database")
+def skip_fieldless_keys(spark, sf_dir):
+    return report.database_keys(report.key_stats(_fieldless(spark, sf_dir)))
 
 
 _STATS = _POINTS + ", s AS (SELECT database, shard_id, count(*) AS points, CAST(sum(n_fields) AS BIGINT) AS fields, min(ts_ns) AS min_ts, max(ts_ns) AS max_ts FROM p GROUP BY ALL)"
@@ -294,9 +303,9 @@ def grand_total(spark, sf_dir):
     return report.grand_total(report.shard_stats(points(spark, sf_dir)))
 
 
-@query(_E + ", d AS (SELECT DISTINCT database, shard_id, src, file_seq, series_key, field FROM v) SELECT database, shard_id, count(*) FILTER (src = 0) AS keys, count(*) FILTER (src = 1) AS wal_keys, CAST(0 AS BIGINT) AS skipped FROM d GROUP BY ALL")
+@query(_KEYS + " SELECT * FROM q")
 def key_count(spark, sf_dir):
-    return report.key_stats(values(spark, sf_dir)).select("database", "shard_id", "keys", "wal_keys", "skipped")
+    return report.key_stats(_fieldless(spark, sf_dir)).select("database", "shard_id", "keys", "wal_keys", "skipped")
 
 
 @query(_E + " SELECT DISTINCT database, series_key FROM v")
@@ -306,7 +315,7 @@ def distinct_series(spark, sf_dir):
 
 @query(_POINTS + " SELECT database, nth, lp FROM (SELECT *, row_number() OVER (PARTITION BY database ORDER BY shard_id, series_key, ts_ns) AS nth FROM l) WHERE nth <= 5")
 def sample_first_n(spark, sf_dir):
-    return report.samples(lines(spark, sf_dir)).select("database", F.col("nth").cast("bigint").alias("nth"), "lp")
+    return rejoin.lines(report.samples(points(spark, sf_dir))).select("database", F.col("nth").cast("bigint").alias("nth"), "lp")
 
 
 @query("SELECT CASE event_type WHEN 'click' THEN 'clicks' WHEN 'error' THEN 'faults' ELSE event_type END AS target, count(*) AS n FROM events GROUP BY 1")
@@ -389,7 +398,7 @@ c AS (SELECT database, shard_id, 0 AS seq, CAST(1 AS BIGINT) AS first, CAST(0 AS
 SELECT z.database, z.shard_id, c.seq, count(*) AS nlines, CAST(sum(z.n) AS BIGINT) AS nbytes FROM z JOIN (SELECT *, lead(first) OVER (PARTITION BY database, shard_id ORDER BY seq) AS stop FROM c) c ON c.database = z.database AND c.shard_id = z.shard_id AND z.i >= c.first AND (c.stop IS NULL OR z.i < c.stop) GROUP BY ALL"""
 )
 def chunk_greedy(spark, sf_dir):
-    found = chunking.chunk_sizes(chunking.numbered(lines(spark, sf_dir).drop("lp"), CHUNK))
+    found = chunking.chunk_sizes(chunking.numbers(lines(spark, sf_dir), CHUNK))
     return found.select("database", "shard_id", "seq", "nlines", "nbytes")
 
 
@@ -402,54 +411,17 @@ def shard_order(spark, sf_dir):
     return found.select("database", "shard_id", F.row_number().over(Window.orderBy("database", "retention", "shard_id")).cast("bigint").alias("place"))
 
 
-@query("WITH d AS (SELECT event_type, event_id, epoch_us(ts) AS us, epoch_us(ts) - coalesce(lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY event_id), 0) AS delta FROM events) SELECT event_type, event_id, us, CAST(sum(delta) OVER (PARTITION BY event_type ORDER BY event_id) AS BIGINT) AS decoded FROM d")
-def delta_decode_prefix_sum(spark, sf_dir):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    d = events(spark, sf_dir).select("event_type", "event_id", "us", (F.col("us") - F.coalesce(F.lag("us").over(w), F.lit(0))).alias("delta"))
-    return d.select("event_type", "event_id", "us", F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("decoded"))
-
-
-_SIGNED = "(o_orderkey - 7000)"
-
-
-@query(f"SELECT o_orderkey, CASE WHEN {_SIGNED} < 0 THEN -2 * {_SIGNED} - 1 ELSE 2 * {_SIGNED} END AS z, {_SIGNED} AS back FROM orders")
-def zigzag_roundtrip(spark, sf_dir):
-    v = F.col("o_orderkey") - 7000
-    z = F.shiftleft(v, 1).bitwiseXOR(F.shiftright(v, 63))
-    o = read(spark, sf_dir, "orders").select("o_orderkey", z.alias("z"))
-    return o.select("o_orderkey", "z", F.shiftrightunsigned("z", 1).bitwiseXOR(-F.col("z").bitwiseAND(F.lit(1))).alias("back"))
-
-
-@query("WITH d AS (SELECT event_id, event_type, event_id - row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS g FROM events) SELECT event_type, min(event_id) AS first, count(*) AS n FROM d GROUP BY event_type, g")
-def rle_runs(spark, sf_dir):
-    """Runs of neighbouring events of one type, by the difference of place and rank."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    d = events(spark, sf_dir).select("event_id", "event_type", (F.col("event_id") - F.row_number().over(w)).alias("g"))
-    return d.groupBy("event_type", "g").agg(F.min("event_id").alias("first"), F.count("*").alias("n")).select("event_type", "first", "n")
-
-
 @query("WITH t AS (SELECT event_id, (epoch_us(ts) - 1705000000000000) * 1000 + event_id % 1000 AS ns FROM events) SELECT event_id, ns, (ns - ((ns % 1000) + 1000) % 1000) // 1000 AS us FROM t")
 def ns_floor_to_us(spark, sf_dir):
     t = events(spark, sf_dir).select("event_id", ((F.col("us") - 1_705_000_000_000_000) * 1000 + F.col("event_id") % 1000).alias("ns"))
     return t.select("event_id", "ns", floor_micros(F.col("ns")).alias("us"))
 
 
-@query("SELECT event_id, event_type AS status, CAST(json_extract_string(props, '$.k') AS BIGINT) AS rows_imported FROM events")
-def parse_import_result(spark, sf_dir):
-    answer = F.concat(F.lit('{"status":"'), F.col("event_type"), F.lit('","result":{"rows_imported":'), F.get_json_object("props", "$.k"), F.lit("}}"))
-    parsed = F.from_json(answer, "status string, result struct<database: string, measurements: array<string>, rows_imported: bigint, precision: string, duration_ms: bigint>")
-    return read(spark, sf_dir, "events").select("event_id", parsed.alias("r")).select("event_id", "r.status", "r.result.rows_imported")
-
-
 @query("SELECT event_type || ',user=' || user_id AS series_key, date_trunc('hour', ts) AS start, count(*) AS n FROM events GROUP BY ALL")
 def windowed_counts(spark, sf_dir):
     from ..streaming.tail import windowed_counts as counts
 
     timed = values(spark, sf_dir).where("vtype = 0").drop("ts_ns")
-    us = events(spark, sf_dir).select("event_id", (F.col("us") * 1000).alias("ts_ns"))
+    us = events(spark, sf_dir).select("event_id", (F.col("us") * 1000 + F.col("event_id") % 1000).alias("ts_ns"))
     found = counts(timed.join(us, timed["ord"] == us["event_id"]))
     return found.select("series_key", F.col("start").cast("timestamp_ntz").alias("start"), "n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import http.client
 import json
 import random
 import time
@@ -13,6 +14,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+#: Fixed value: where the target takes lines.
 PATH = "/api/v1/import/lp"
 
 
@@ -65,11 +67,14 @@ class Sink:
             try:
                 return self._once(database, body, kind)
             except urllib.error.HTTPError as e:
-                said = e.read(300).decode("utf-8", "replace")
+                try:
+                    said = e.read(300).decode("utf-8", "replace")
+                except (OSError, http.client.HTTPException):
+                    said = ""
                 if e.code != 429 and e.code < 500:
                     raise Rejected(f"{e.code}: {said}") from None
                 last = RuntimeError(f"{e.code}: {said}")
-            except (urllib.error.URLError, OSError) as e:
+            except (OSError, http.client.HTTPException) as e:  # among them answers that break off
                 last = e
         raise Exhausted(f"after {self.retries + 1} tries: {last}")
 
@@ -83,8 +88,13 @@ class Sink:
         with urllib.request.urlopen(request, timeout=self.timeout) as answer:
             if answer.status != 200:
                 raise Rejected(f"{answer.status}: {answer.read(300).decode('utf-8', 'replace')}")
-            try:
-                got = json.loads(answer.read()).get("result") or {}
-            except (ValueError, AttributeError):
-                got = {}  # taken, whatever it says
-        return Result(**{k: got[k] for k in Result.__dataclass_fields__ if k in got})
+            return parse_result(answer.read())
+
+
+def parse_result(answer: bytes | str) -> Result:
+    """What the target says of a chunk that it took; an answer of another form says nothing."""
+    try:
+        got = json.loads(answer).get("result") or {}
+        return Result(**{k: got[k] for k in Result.__dataclass_fields__ if got.get(k) is not None})
+    except (ValueError, AttributeError, TypeError):
+        return Result()

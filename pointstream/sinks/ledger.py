@@ -1,86 +1,80 @@
-"""What is delivered: a small database on the driver, which acknowledgements reach in the order of chunks.
+"""What is delivered: a folder to which rows are only ever added.
 
-A change of configuration or input files would cut chunks elsewhere, so a ledger refuses another fingerprint."""
+``settings.json`` has the first run's settings, by name.  ``acks`` has a row for each chunk that the target took, and
+``ends`` one for each shard that is through; a task that delivers adds to files of its own and puts each row on disk
+before it goes on.  The folder must be one that the driver and all executors see.  What the rows mean is said by the
+joins of ``operators.resume``, which are their only reader.
+
+A change of settings or input files would cut chunks elsewhere, so a ledger refuses other settings."""
 
 from __future__ import annotations
 
-import sqlite3
-import threading
+import json
+import os
 import time
+import uuid
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import resume
+
+ACKS, ENDS = "acks", "ends"
+SCHEMAS = {ACKS: "source_id string, shard_id string, seq int, rows long, bytes long, at double", ENDS: "source_id string, shard_id string, chunks int, at double"}
 
 
 class Changed(RuntimeError):
     """The ledger belongs to a run with other settings or files."""
 
 
-TABLES = """
-CREATE TABLE IF NOT EXISTS shard_progress (source_db TEXT, shard_id TEXT, committed_seq INTEGER NOT NULL, rows_sent INTEGER NOT NULL, updated_at REAL, PRIMARY KEY (source_db, shard_id));
-CREATE TABLE IF NOT EXISTS shard_done (source_db TEXT, shard_id TEXT, total_chunks INTEGER NOT NULL, rows_sent INTEGER NOT NULL, finished_at REAL, PRIMARY KEY (source_db, shard_id));
-CREATE TABLE IF NOT EXISTS meta (key TEXT PRIMARY KEY, value TEXT NOT NULL);
-"""
+class Writer:
+    """Adds rows from one task, or from the driver."""
 
+    def __init__(self, folder: str):
+        self.folder, self.name, self.open = folder, uuid.uuid4().hex, {}
 
-class Ledger:
-    def __init__(self, path: str):
-        self.db = sqlite3.connect(path, timeout=5, isolation_level=None, check_same_thread=False)
-        self.lock = threading.RLock()  # threads share prepared statements
-        self.db.execute("PRAGMA journal_mode=WAL")
-        self.db.execute("PRAGMA synchronous=FULL")
-        self.db.executescript(TABLES)
+    def add(self, table: str, **row) -> None:
+        """On disk when this returns."""
+        if table not in self.open:
+            self.open[table] = open(Path(self.folder, table, f"{self.name}.json"), "a")
+        f = self.open[table]
+        f.write(json.dumps(row | {"at": time.time()}) + "\n")
+        f.flush()
+        os.fsync(f.fileno())
 
-    def __enter__(self) -> Ledger:
-        return self
+    def close(self) -> None:
+        for f in self.open.values():
+            f.close()
 
-    def __exit__(self, *_) -> None:
-        self.close()
 
-    def close(self) -> None:
-        self.db.close()
-
-    def check(self, fingerprint: str) -> None:
-        """The first run's fingerprint stays."""
-        self.db.execute("INSERT OR IGNORE INTO meta VALUES ('fingerprint', ?)", (fingerprint,))
-        (kept,) = self.db.execute("SELECT value FROM meta WHERE key = 'fingerprint'").fetchone()
-        if kept != fingerprint:
-            was, now = dict(p.partition("=")[::2] for p in kept.split(";")), dict(p.partition("=")[::2] for p in fingerprint.split(";"))
-            differ = sorted(k for k in was.keys() | now.keys() if was.get(k) != now.get(k))
-            raise Changed(f"the ledger was begun with other settings: {', '.join(differ)} (chunk size, time range, precision, renames or input files)")
-
-    def committed(self, source: str, shard: str) -> int:
-        with self.lock:
-            row = self.db.execute("SELECT committed_seq FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
-        return row[0] if row else -1
-
-    def is_done(self, source: str, shard: str) -> bool:
-        with self.lock:
-            return self.db.execute("SELECT 1 FROM shard_done WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone() is not None
-
-    def commit(self, source: str, shard: str, seq: int, rows: int) -> None:
-        """Never goes back; rows add up."""
-        with self.lock:
-            self.db.execute(
-                "INSERT INTO shard_progress VALUES (?, ?, ?, ?, ?) ON CONFLICT DO UPDATE SET"
-                " committed_seq = max(committed_seq, excluded.committed_seq), rows_sent = rows_sent + excluded.rows_sent, updated_at = excluded.updated_at",
-                (source, shard, seq, rows, time.time()),
-            )
-
-    def finish(self, source: str, shard: str, chunks: int) -> None:
-        """Rows of all runs, not of the last alone."""
-        with self.lock:
-            row = self.db.execute("SELECT rows_sent FROM shard_progress WHERE source_db = ? AND shard_id = ?", (source, shard)).fetchone()
-            self.db.execute("INSERT OR REPLACE INTO shard_done VALUES (?, ?, ?, ?, ?)", (source, shard, chunks, row[0] if row else 0, time.time()))
-
-    def rewind(self, source: str, shard: str, seq: int) -> None:
-        """For tests: as if acknowledgements after ``seq`` had been lost."""
-        self.db.execute("DELETE FROM shard_done WHERE source_db = ? AND shard_id = ?", (source, shard))
-        self.db.execute("UPDATE shard_progress SET committed_seq = ? WHERE source_db = ? AND shard_id = ?", (seq, source, shard))
-
-    def summary(self) -> tuple[int, int, int]:
-        """(shards begun, shards done, rows sent)."""
-        begun, rows = self.db.execute("SELECT count(*), coalesce(sum(rows_sent), 0) FROM shard_progress").fetchone()
-        return begun, self.db.execute("SELECT count(*) FROM shard_done").fetchone()[0], rows
-
-    def table(self, spark, name: str):
-        """One of the tables as a DataFrame, for joins."""
-        kinds = {"shard_progress": "source_id string, shard_id string, committed int, rows long, at double", "shard_done": "source_id string, shard_id string, total_chunks int, rows long, at double", "meta": "key string, value string"}
-        return spark.createDataFrame(self.db.execute(f"SELECT * FROM {name}").fetchall(), kinds[name])
+class Ledger:
+    def __init__(self, folder: str):
+        self.folder = folder
+        for table in SCHEMAS:
+            Path(folder, table).mkdir(parents=True, exist_ok=True)
+
+    def check(self, settings: dict[str, str]) -> None:
+        """The first run's settings stay."""
+        place = Path(self.folder, "settings.json")
+        try:
+            with place.open("x") as f:
+                json.dump(settings, f)
+        except FileExistsError:
+            kept = json.loads(place.read_text())
+            if differ := sorted(k for k in kept.keys() | settings.keys() if kept.get(k) != settings.get(k)):
+                raise Changed(f"the ledger was begun with other settings: {', '.join(differ)}") from None
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """Rows of a table; a line cut short by a crash is left out."""
+        rows = spark.read.schema(f"{SCHEMAS[name]}, broken string").option("columnNameOfCorruptRecord", "broken").json(f"file://{os.path.abspath(self.folder)}/{name}")
+        return rows.where("broken is null").drop("broken")
+
+    def acks(self, spark: SparkSession) -> DataFrame:
+        return self.table(spark, ACKS)
+
+    def ends(self, spark: SparkSession) -> DataFrame:
+        return self.table(spark, ENDS)
+
+    def summary(self, spark: SparkSession) -> tuple[int, int, int]:
+        """(shards begun, shards through, rows)."""
+        return tuple(resume.summary(self.acks(spark), self.ends(spark).select(*resume.LEDGER_KEY).distinct()).first())

@@ -1,15 +1,14 @@
-"""Decoders of compressed columns; no Spark here.
-
-Fixed values: simple8b has a selector in the upper 4 bits of each 64-bit word and these (count, bits) pairs by
-selector.  The first two stand for runs of ones."""
+"""Decoders of compressed columns; no Spark here."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 
+#: A word's upper 4 bits are its selector, which says how many numbers of how many bits follow.  The first
+#: two stand for runs of ones.
 SIMPLE8B = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
-#: Ends a stream of floats.
+#: Fixed value: ends a stream of floats.
 FLOAT_END = 0x7FF8000000000001
 #: No column has more values; a larger count in a file is damage.
 MOST_VALUES = 1 << 24
@@ -122,14 +121,17 @@ def floats(data: bytes) -> np.ndarray:
         return np.zeros(0)
     if _head(data) != 1 or len(data) < 9:
         raise Damaged("floats")
-    bits, left = int.from_bytes(data[1:], "big"), 8 * (len(data) - 1)
+    total = 8 * (len(data) - 1)
+    words = np.frombuffer(data[1:] + bytes(-(len(data) - 1) % 8 + 8), ">u8").tolist()
+    at = 0
 
-    def take(n: int) -> int:
-        nonlocal left
-        left -= n
-        if left < 0:
+    def take(n: int) -> int:  # of two neighbouring words, so a column's cost grows with its length only
+        nonlocal at
+        if at + n > total:
             raise EOFError
-        return (bits >> left) & ((1 << n) - 1)
+        word, bit = at >> 6, at & 63
+        at += n
+        return ((words[word] << 64 | words[word + 1]) >> (128 - bit - n)) & ((1 << n) - 1)
 
     value, lead, size, out = take(64), 0, 64, []
     try:

@@ -1,20 +1,29 @@
 """Column files: ``magic version | blocks | index | offset of the index``, all big-endian.
 
 A block is ``checksum4 type1 uvarint(bytes of times) times values``; an index entry ``keyLen2 key type1 count2
-{min8 max8 offset8 size4}*``."""
+{min8 max8 offset8 size4}*``.  A file is read from its end: the index in pieces, then one block at a time, so
+memory is bounded by a piece and a block, whatever the file's size."""
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from collections.abc import Iterator
-from typing import NamedTuple
+from typing import BinaryIO, NamedTuple
 
 import numpy as np
 
 from .codecs import DECODERS, Damaged, timestamps, uvarint
 
+#: Fixed values of the format.
 MAGIC, VERSION = 0x16D116D1, 1
+#: Bytes of an index that are read at once; an entry may be longer.
+PIECE = 1 << 20
+#: Bytes of blocks that one task reads.
+SPLIT = 64 << 20
+#: Places in a key's order that a block may have.
+BLOCK_PLACES = 1 << 24
 
 
 class Block(NamedTuple):
@@ -24,35 +33,92 @@ class Block(NamedTuple):
     size: int
 
 
-def read_index(data: bytes) -> dict[bytes, list[Block]]:
-    """Blocks of each key, keys in byte order."""
-    if len(data) < 13 or struct.unpack_from(">IB", data) != (MAGIC, VERSION):
+class Entry(NamedTuple):
+    """A key's blocks; the entry is at ``begin`` to ``end`` of the file."""
+
+    key: bytes
+    blocks: list[Block]
+    begin: int
+    end: int
+
+
+class Range(NamedTuple):
+    """Neighbouring entries of an index, and the bytes of their blocks."""
+
+    begin: int
+    end: int
+    blocks: int
+
+
+def index_place(f: BinaryIO) -> tuple[int, int]:
+    """Where the index begins and ends."""
+    f.seek(0)
+    head = f.read(5)
+    size = f.seek(0, 2)
+    if size < 13 or struct.unpack(">IB", head) != (MAGIC, VERSION):
         raise Damaged("not a column file of this version")
-    (at,) = struct.unpack_from(">Q", data, len(data) - 8)
-    end = len(data) - 8
-    if not 5 <= at <= end:
+    f.seek(size - 8)
+    (at,) = struct.unpack(">Q", f.read(8))
+    if not 5 <= at <= size - 8:
         raise Damaged("place of the index")
-    found: dict[bytes, list[Block]] = {}
+    return at, size - 8
+
+
+def entries(f: BinaryIO, begin: int, end: int) -> Iterator[Entry]:
+    """Index entries of a part of the index, which begins with one."""
+    held, first, at = b"", begin, begin  # bytes from ``first`` on; the entry is at ``at``
+
+    def need(n: int) -> int:
+        """Where the entry is in ``held``, of which it has ``n`` bytes."""
+        nonlocal held, first
+        if at - first + n > len(held):
+            f.seek(at)
+            held, first = f.read(min(max(PIECE, n), end - at)), at
+        if at - first + n > len(held):
+            raise Damaged("index")
+        return at - first
+
     while at < end:
-        try:
-            (size,) = struct.unpack_from(">H", data, at)
-            key = data[at + 2 : at + 2 + size]
-            _, count = struct.unpack_from(">BH", data, at + 2 + size)
-            at += 5 + size
-            if at + 28 * count > end:
-                raise Damaged("index entry")
-            found[key] = [Block(*struct.unpack_from(">qqQI", data, at + 28 * k)) for k in range(count)]
-            at += 28 * count
-        except struct.error:
-            raise Damaged("index") from None
-    return dict(sorted(found.items()))
-
-
-def read_block(data: bytes, block: Block, check: bool = True) -> tuple[int, np.ndarray, np.ndarray | list[bytes]]:
+        k = need(2)
+        (size,) = struct.unpack_from(">H", held, k)
+        k = need(5 + size)
+        _, count = struct.unpack_from(">BH", held, k + 2 + size)
+        whole = 5 + size + 28 * count
+        k = need(whole)
+        yield Entry(held[k + 2 : k + 2 + size], [Block(*x) for x in struct.iter_unpack(">qqQI", held[k + 5 + size : k + whole])], at, at + whole)
+        at += whole
+
+
+def wanted(entry: Entry, low: int, high: int, keys: tuple[bytes, bytes] | None) -> bool:
+    """Whether an entry can have values in the range of time and of keys (both ends belong to it)."""
+    return (not keys or keys[0] <= entry.key <= keys[1]) and any(b.high >= low and b.low <= high for b in entry.blocks)
+
+
+def ranges(f: BinaryIO, low: int, high: int, keys: tuple[bytes, bytes] | None = None, split: int = SPLIT) -> Iterator[Range]:
+    """The index in parts whose blocks have about ``split`` bytes; entries that aren't wanted make no part."""
+    begin = end = size = 0
+    for e in entries(f, *index_place(f)):
+        if wanted(e, low, high, keys):
+            if size >= split:
+                yield Range(begin, end, size)
+                size = 0
+            begin, end = begin if size else e.begin, e.end
+            size += sum(b.size for b in e.blocks if b.high >= low and b.low <= high)
+    if size:
+        yield Range(begin, end, size)
+
+
+def read_index(f: BinaryIO) -> dict[bytes, list[Block]]:
+    """Blocks of each key, keys in byte order."""
+    return dict(sorted((e.key, e.blocks) for e in entries(f, *index_place(f))))
+
+
+def read_block(f: BinaryIO, block: Block, check: bool = True) -> tuple[int, np.ndarray, np.ndarray | list[bytes]]:
     """(type, timestamps, values)."""
-    if block.offset + block.size > len(data) or block.size < 5:
+    f.seek(block.offset)
+    raw = f.read(block.size)
+    if len(raw) < block.size or block.size < 5:
         raise Damaged("place of a block")
-    raw = data[block.offset : block.offset + block.size]
     if check and struct.unpack_from(">I", raw)[0] != zlib.crc32(raw[4:]):
         raise Damaged("checksum of a block")
     kind = raw[4]
@@ -67,14 +133,14 @@ def read_block(data: bytes, block: Block, check: bool = True) -> tuple[int, np.n
     return kind, times, values
 
 
-def read(data: bytes, low: int, high: int, keys: tuple[bytes, bytes] | None = None, check: bool = True) -> Iterator[tuple[bytes, int, int, np.ndarray, np.ndarray | list[bytes]]]:
-    """(key, place of the first value in its key, type, times, values) of blocks that can hold times in the range."""
-    for key, blocks in read_index(data).items():
-        if keys and not keys[0] <= key <= keys[1]:
+def read(f: BinaryIO | bytes, low: int, high: int, keys: tuple[bytes, bytes] | None = None, check: bool = True, part: tuple[int, int] | None = None) -> Iterator[tuple[bytes, int, int, np.ndarray, np.ndarray | list[bytes]]]:
+    """(key, place of the first value in its key, type, times, values) of blocks that can hold times in the range, in the
+    order of the index, or of a ``part`` of it."""
+    f = io.BytesIO(f) if isinstance(f, bytes) else f
+    for entry in entries(f, *(part or index_place(f))):
+        if not wanted(entry, low, high, keys):
             continue
-        at = 0
-        for block in blocks:
-            if block.high >= low and block.low <= high:  # else the block isn't even decoded
-                kind, times, values = read_block(data, block, check)
-                yield key, at, kind, times, values
-            at += 1 << 24
+        for number, block in enumerate(entry.blocks):
+            if block.high >= low and block.low <= high:  # else the block isn't even read
+                kind, times, values = read_block(f, block, check)
+                yield entry.key, number * BLOCK_PLACES, kind, times, values

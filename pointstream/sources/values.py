@@ -1,11 +1,14 @@
 """The tables of raw values.
 
 A task opens its files itself, from a folder that all executors see: Spark's own readers leave out names that
-begin with an underscore, as those of logs do.  Rows leave in Arrow batches with an order that later stages
-can sort by."""
+begin with an underscore, as those of logs do.  Column files are read in two steps: tasks that go through the
+indexes alone cut them into ranges of keys with some 64 MB of blocks each, and these ranges are dealt out, so one
+large file is the work of many tasks and no task holds more than a block.  Ranges of time and of keys are applied to
+the index, so other blocks aren't read.  Rows leave in Arrow batches with an order that later stages can sort by."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +23,9 @@ from .codecs import Damaged
 
 BATCH = 65_536
 COLUMN = {FLOAT: "v_float", INTEGER: "v_int", UNSIGNED: "v_uint", BOOLEAN: "v_bool", STRING: "v_str"}
+SHARD_COLUMNS = ("source_id", "database", "retention", "shard_id")
+FILES = "source_id string, database string, retention string, shard_id string, src tinyint, file_seq int, path string"
+PARTS = FILES + ", begin long, stop long, bytes long"
 
 
 def _text(raw: bytes) -> str:
@@ -27,64 +33,75 @@ def _text(raw: bytes) -> str:
     return raw.decode("utf-8", "backslashreplace")
 
 
-def _batch(schema: pa.Schema, shard: dict, order: tuple, key: str, kind: int, times, values) -> pa.RecordBatch:
+def batches_of(schema: pa.Schema, shard: dict, order: tuple, key: bytes, kind: int, times, values) -> Iterator[pa.RecordBatch]:
+    """Batches of one key's values; ``order`` is source, file, frame and place of the first value."""
     src, file_seq, entry_seq, first = order
-    n = len(times)
-    if kind == STRING:
-        values = [_text(v) for v in values]
-    elif kind == UNSIGNED:
-        values = [int(v) for v in values]
-    columns = {**{k: [v] * n for k, v in shard.items()}, "src": [src] * n, "file_seq": [file_seq] * n, "entry_seq": [entry_seq] * n}
-    columns |= {"ord": range(first, first + n), "raw_key": [key] * n, "ts_ns": times, "vtype": [kind] * n, COLUMN[kind]: values}
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
-
+    same = {**shard, "src": src, "file_seq": file_seq, "entry_seq": entry_seq, "raw_key": _text(key), "vtype": kind}
+    for at in range(0, len(times), BATCH):
+        some, own = times[at : at + BATCH], values[at : at + BATCH]
+        n = len(some)
+        if kind == STRING:
+            own = [_text(v) for v in own]
+        elif kind == UNSIGNED:
+            own = pa.array(own, pa.uint64()).cast(pa.decimal128(20, 0))
+        columns = {"ord": range(first + at, first + at + n), "ts_ns": some, COLUMN[kind]: own}
+        arrays = [
+            pa.repeat(pa.scalar(same[f.name], f.type), n) if f.name in same
+            else columns[f.name] if isinstance(columns.get(f.name), pa.Array)
+            else pa.array(columns[f.name], f.type) if f.name in columns
+            else pa.nulls(n, f.type)
+            for f in schema
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def wal_batches(schema: pa.Schema, shard: dict, file_seq: int, f, low: int, high: int, begin: int = 0, end: int | None = None, keys: tuple[bytes, bytes] | None = None) -> Iterator[pa.RecordBatch]:
+    place = 0
+    for frame, key, kind, times, values in wal.columns(f, begin, end):
+        first, place = place, place + len(times)
+        if (not keys or keys[0] <= key <= keys[1]) and len(times) and times.max() >= low and times.min() <= high:
+            yield from batches_of(schema, shard, (WAL, file_seq, frame, first), key, kind, times, values)
 
-def _tsm_rows(schema, shard, file_seq, data, low, high, check):
-    for key, first, kind, times, values in tsm.read(data, low, high, check=check):
-        for at in range(0, len(times), BATCH):
-            yield _batch(schema, shard, (TSM, file_seq, 0, first + at), _text(key), kind, times[at : at + BATCH], values[at : at + BATCH])
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        yield from b.to_pylist()
 
-def _wal_rows(schema, shard, file_seq, data, low, high, strict):
-    held: list = []
-    place = 0
 
-    def flush():
-        _, key, kind, _, _ = held[0][1]
-        yield _batch(schema, shard, (WAL, file_seq, held[0][1][0], held[0][0]), _text(key), kind, [r[3] for _, r in held], [r[4] for _, r in held])
-
-    for row in wal.read(data):
-        if held and (held[0][1][:3] != row[:3] or len(held) == BATCH):
-            yield from flush()
-            held = []
-        if low <= row[3] <= high:
-            if held and held[-1][0] + 1 != place:
-                yield from flush()
-                held = []
-            held.append((place, row))
-        place += 1
-    if held:
-        yield from flush()
-
-
-def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int = HIGHEST, check: bool = True) -> DataFrame:
-    """All values of the shards' files in the time range; blocks outside it aren't decoded.  Damage is an error."""
+def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int = HIGHEST, check: bool = True, keys: tuple[str, str] | None = None, split: int = tsm.SPLIT) -> DataFrame:
+    """All values of the shards' files in the range of time and, if given, of raw keys (first and last, by their bytes);
+    blocks outside these aren't read.  Damage is an error."""
     listing = [(s.source_id, s.database, s.retention, s.shard_id, src, k, f) for s in shards for src, own in ((TSM, s.tsm_files), (WAL, s.wal_files)) for k, f in enumerate(own)]
     if not listing:
         return spark.createDataFrame([], RAW)
-    names = spark.createDataFrame(listing, "source_id string, database string, retention string, shard_id string, src tinyint, file_seq int, path string").repartition(len(listing))
-    schema = to_arrow_schema(RAW)
+    # fixed numbers of tasks, as these small rows stand for much work; by the files' sizes, which the listing has looked at
+    names = spark.createDataFrame(listing, FILES).repartition(min(len(listing), 10_000), "path")
+    tasks = min(len(listing) + sum(os.stat(r[-1]).st_size for r in listing) // split, 100_000)
+    schema, parts = to_arrow_schema(RAW), to_arrow_schema(spark.createDataFrame([], PARTS).schema)
+    span = tuple(k.encode() for k in keys) if keys else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows_of(batches):
+            try:
+                with open(r["path"], "rb") as f:
+                    found = list(tsm.ranges(f, start, end, span, split)) if r["src"] == TSM else [tsm.Range(0, f.seek(0, 2), f.tell())]
+            except Damaged as e:
+                raise Damaged(f"{r['path']}: {e}") from e
+            if found:
+                yield pa.RecordBatch.from_pylist([r | {"begin": x.begin, "stop": x.end, "bytes": x.blocks} for x in found], schema=parts)
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                r = {name: b.column(i)[k].as_py() for i, name in enumerate(b.schema.names)}
-                shard = {c: r[c] for c in ("source_id", "database", "retention", "shard_id")}
-                reader = _tsm_rows if r["src"] == TSM else _wal_rows
-                try:
-                    with open(r["path"], "rb") as f:
-                        data = f.read()
-                    yield from reader(schema, shard, r["file_seq"], data, start, end, check)
-                except Damaged as e:
-                    raise Damaged(f"{r['path']}: {e}") from e
-
-    return names.mapInArrow(decode, RAW).where(F.col("ts_ns").between(start, end))
+        for r in rows_of(batches):
+            shard = {c: r[c] for c in SHARD_COLUMNS}
+            try:
+                with open(r["path"], "rb") as f:
+                    if r["src"] == WAL:
+                        yield from wal_batches(schema, shard, r["file_seq"], f, start, end, keys=span)
+                    else:
+                        for key, first, kind, times, values in tsm.read(f, start, end, span, check, (r["begin"], r["stop"])):
+                            yield from batches_of(schema, shard, (TSM, r["file_seq"], 0, first), key, kind, times, values)
+            except Damaged as e:
+                raise Damaged(f"{r['path']}: {e}") from e
+
+    dealt = names.mapInArrow(cut, PARTS).repartition(tasks, "path", "begin")
+    return dealt.mapInArrow(decode, RAW).where(F.col("ts_ns").between(start, end))

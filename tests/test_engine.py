@@ -16,7 +16,7 @@ from pointstream.operators import chunking, rejoin, report, resume
 from pointstream.plans import load as L
 from pointstream.sinks.files import conflicts, wide, write_lines
 from pointstream.sinks.http import Exhausted, Rejected, Sink
-from pointstream.sinks.ledger import Changed, Ledger
+from pointstream.sinks.ledger import ACKS, ENDS, Changed, Ledger, Writer
 from pointstream.sources import catalog
 from pointstream.sources.values import read_values
 
@@ -42,22 +42,57 @@ def extracted(spark, tmp_path, tsm=(), wal=(), start=units.LOWEST, end=units.HIG
     return [r["lp"][:-1] for r in lines.orderBy("series_key", "ts_ns").collect()]
 
 
-def test_rejoin_and_all_types(spark, tmp_path):
-    cpu = "cpu,host=a"
+def test_fields_of_every_kind_meet_in_one_line(spark, tmp_path):
+    """Fields in order of their names, each with its type's mark; a point has only the fields that were written at its time."""
+    boiler = "boiler\\ 7,hall=north,unit=b\\,2"
     got = extracted(spark, tmp_path, [{
-        f"{cpu}{SEP}usage": (0, [(1000, 98.5), (2000, 97.2)]), f"{cpu}{SEP}cores": (1, [(1000, 8), (2000, 8)]),
-        f"m,t=x{SEP}f_float": (0, [(1, 1.5)]), f"m,t=x{SEP}g_int": (1, [(1, -7)]), f"m,t=x{SEP}h_uint": (4, [(1, 2**64 - 1)]),
-        f"m,t=x{SEP}i_bool": (2, [(1, True)]), f"m,t=x{SEP}j_string": (3, [(1, b'a "b" c')]),
-        f"pressure{SEP}value": (0, [(-317001600000000000, 1013.25)]), "nofield": (0, [(1, 1.0)]),
-    }])
+        f"{boiler}{SEP}zeta": (4, [(40, 2**63), (60, 0)]), f"{boiler}{SEP}alarm": (2, [(40, False), (50, True)]),
+        f"{boiler}{SEP}level": (0, [(40, -0.125), (50, 1 / 3)]), f"{boiler}{SEP}note": (3, [(50, b"back\\slash \"q\""), (60, "h\u00e9".encode())]),
+        f"{boiler}{SEP}ticks": (1, [(50, -(2**63)), (60, 12)]), "no separator here": (1, [(40, 1)]),
+    }, {f"quiet{SEP}a=b c": (1, [(-(10**18), 5)])}])
     assert got == [
-        "cpu,host=a cores=8i,usage=98.5 1000",
-        "cpu,host=a cores=8i,usage=97.2 2000",
-        'm,t=x f_float=1.5,g_int=-7i,h_uint=18446744073709551615u,i_bool=true,j_string="a \\"b\\" c" 1',
-        "pressure value=1013.25 -317001600000000000",
+        "boiler\\ 7,hall=north,unit=b\\,2 alarm=false,level=-0.125,zeta=9223372036854775808u 40",
+        'boiler\\ 7,hall=north,unit=b\\,2 alarm=true,level=0.3333333333333333,note="back\\\\slash \\"q\\"",ticks=-9223372036854775808i 50',
+        'boiler\\ 7,hall=north,unit=b\\,2 note="h\u00e9",ticks=12i,zeta=0u 60',
+        "quiet a\\=b\\ c=5i -1000000000000000000",
     ]
 
 
+def test_parts_of_files_and_ranges_of_keys(spark, tmp_path):
+    """A file in many parts has the rows that it has in one, in the same order; a range of keys leaves out the rest."""
+    columns = {f"m,s={k:02d}{SEP}v": (1, [(t, t * k) for t in range(300)]) for k in range(40)}
+    tree(tmp_path / "d", {"db/rp/1/1.tsm": E.tsm(columns, block=50)})
+    found = catalog.shards(str(tmp_path / "d"))
+    rows = lambda **how: sorted((r["raw_key"], r["ts_ns"], r["v_int"], r["ord"]) for r in read_values(spark, found, **how).collect())
+    whole = rows()
+    assert len(whole) == 12_000 and whole == rows(split=500)
+    low, high = f"m,s=07{SEP}v", f"m,s=11{SEP}v"
+    assert rows(keys=(low, high), split=500) == [r for r in whole if low <= r[0] <= high]
+    assert rows(start=100, end=149, split=200) == [r for r in whole if 100 <= r[1] <= 149]
+
+
+def test_large_files_need_little_memory(tmp_path):
+    """The index and the blocks of a file of 1 GB (most of it a gap that no index entry names) are read piece by piece."""
+    import subprocess
+    import sys
+
+    small = E.tsm({f"m,s={k:04d}{SEP}v": (1, [(t, t) for t in range(200)]) for k in range(2000)})
+    (at,) = __import__("struct").unpack(">Q", small[-8:])
+    with open(tmp_path / "1.tsm", "wb") as f:
+        f.write(small[:at])
+        f.seek(at + (1 << 30))
+        f.write(small[at:-8] + (at + (1 << 30)).to_bytes(8, "big"))
+    code = (
+        "import resource, sys\nfrom pointstream.sources import tsm\nstart = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "f = open(sys.argv[1], 'rb')\nparts = list(tsm.ranges(f, 0, 10**6, None, 20_000))\n"
+        "n = sum(len(t) for p in parts for *_, t, v in tsm.read(f, 0, 10**6, part=p[:2]))\n"
+        "print(n, len(parts), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - start) // 1024)"
+    )
+    out = subprocess.run([sys.executable, "-c", code, str(tmp_path / "1.tsm")], capture_output=True, text=True, check=True, env={**__import__("os").environ, "PYTHONPATH": __import__("os").getcwd()}).stdout
+    n, parts, more = map(int, out.split()[-3:])
+    assert n == 400_000 and parts > 2 and more < 50
+
+
 def test_last_write_wins(spark, tmp_path):
     k = f"m,t=x{SEP}v"
     got = extracted(spark, tmp_path, [{k: (0, [(1000, 1.0), (4000, 4.0)])}, {k: (0, [(1000, 9.0), (2000, 2.0)])}], [[[(k, 1, [(2000, 999.0)])], [(k, 1, [(3000, 1.0), (3000, 99.0)]), (k, 1, [(500, 0.5)])]]])
@@ -209,19 +244,43 @@ def test_sink():
     assert bad.calls == 7
 
 
-def test_ledger(tmp_path):
-    with Ledger(str(tmp_path / "l.db")) as a:
-        assert a.committed("s", "1") == -1
-        a.commit("s", "1", 10, 5)
-        a.commit("s", "1", 3, 5)
-        a.finish("s", "1", 11)
-        a.check("chunk=1;x=2")
-        assert a.committed("s", "1") == 10 and not a.is_done("s", "2") and a.summary() == (1, 1, 10)
-    with Ledger(str(tmp_path / "l.db")) as b:
-        assert b.is_done("s", "1")
-        b.check("chunk=1;x=2")
-        with pytest.raises(Changed, match="chunk"):
-            b.check("chunk=2;x=2")
+def test_sink_tries_again_after_answers_that_break_off():
+    import socketserver
+
+    class Broken(socketserver.StreamRequestHandler):
+        tries = 0
+
+        def handle(self):
+            while self.rfile.readline().strip():
+                pass
+            Broken.tries += 1
+            said = [b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\n{", b"nonsense\r\n", b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\n{}"]
+            self.wfile.write(said[min(Broken.tries, 3) - 1])
+
+    server = socketserver.ThreadingTCPServer(("127.0.0.1", 0), Broken)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    assert Sink(f"http://127.0.0.1:{server.server_address[1]}", sleep=lambda s: None).send("db", b"x").rows_imported == 0
+    assert Broken.tries == 3
+
+
+def test_ledger(spark, tmp_path):
+    ledger = Ledger(str(tmp_path / "ledger"))
+    ledger.check({"chunk size": "1", "x": "2"})
+    assert ledger.summary(spark) == (0, 0, 0)
+    one, two = Writer(ledger.folder), Writer(ledger.folder)
+    for w, seq in ((one, 0), (one, 1), (two, 1), (two, 4)):  # 1 twice, 2 and 3 missing
+        w.add(ACKS, source_id="s", shard_id="7", seq=seq, rows=10, bytes=100)
+    two.add(ENDS, source_id="s", shard_id="8", chunks=0)
+    with open(next((tmp_path / "ledger" / ACKS).glob("*.json")), "a") as f:
+        f.write('{"source_id": "s", "shard')  # a crash
+    again = Ledger(str(tmp_path / "ledger"))
+    again.check({"chunk size": "1", "x": "2"})
+    with pytest.raises(Changed, match="chunk size$"):
+        again.check({"chunk size": "2", "x": "2"})
+    assert [r["committed"] for r in resume.committed(again.acks(spark)).collect()] == [1]
+    shards = spark.createDataFrame([("s", "7"), ("s", "8")], "source_id string, shard_id string")
+    assert [r["shard_id"] for r in resume.without_done(shards, again.ends(spark)).collect()] == ["7"]
+    assert again.summary(spark) == (1, 1, 40)
 
 
 def shard_tree(tmp_path, shards=4, series=12):
@@ -233,31 +292,38 @@ def test_resume_after_a_crash(spark, tmp_path):
     settings = L.Settings(chunk_bytes=256, workers=3, rename={"db": "target"})
     crash = Target([200] * 7 + [400] * 50)
     quiet = lambda line: None
-    with Ledger(str(tmp_path / "l.db")) as ledger:
-        with pytest.raises(Rejected):
-            L.load(spark, found, Sink(crash.url), ledger, settings, str(tmp_path / "stage"), quiet)
-        assert ledger.summary()[1] < 4
-        again = Target()
-        L.load(spark, found, Sink(again.url), ledger, settings, str(tmp_path / "stage"), quiet)
-        assert ledger.summary()[1:] == (4, 4 * 12 * 5)
-        assert sorted(crash.lines + again.lines) == sorted([("target", f"m,s={k:03d} v={t + k}i {t}") for k in range(12) for t in range(5)] * 4)
-        done = L.load(spark, found, Sink("http://127.0.0.1:1/"), ledger, settings, str(tmp_path / "stage"), quiet)
-        assert (done.chunks, done.shards_skipped) == (0, 4)
-        ledger.rewind("db", "2", ledger.committed("db", "2") - 1)
-        once = Target()
-        lost = L.load(spark, found, Sink(once.url), ledger, settings, str(tmp_path / "stage"), quiet)
-        assert lost.chunks == 1 and 0 < len(once.lines) <= 16
-        with pytest.raises(Changed):
-            L.load(spark, found, Sink(once.url), ledger, L.Settings(chunk_bytes=512), str(tmp_path / "stage"), quiet)
+    ledger = Ledger(str(tmp_path / "ledger"))
+    with pytest.raises(Rejected):
+        L.load(spark, found, Sink(crash.url), ledger, settings, str(tmp_path / "stage"), quiet)
+    through, rows = ledger.summary(spark)[1:]
+    assert through < 4 and rows == 7
+    again, said = Target(), []
+    second = L.load(spark, found, Sink(again.url), ledger, settings, str(tmp_path / "stage"), said.append, verbose=True)
+    assert ledger.summary(spark)[1] == 4 and second.chunks == second.rows == again.calls  # the target says one row a chunk
+    assert sum(": chunk " in x for x in said) == second.chunks and "4/4 shards" in said[-1].replace(f"{4 - through}/{4 - through}", "4/4")
+    assert sorted(crash.lines + again.lines) == sorted([("target", f"m,s={k:03d} v={t + k}i {t}") for k in range(12) for t in range(5)] * 4)
+    done = L.load(spark, found, Sink("http://127.0.0.1:1/"), ledger, settings, str(tmp_path / "stage"), quiet)
+    assert (done.chunks, done.shards_skipped) == (0, 4)
+    # an acknowledgement that was lost: its chunk alone is sent again
+    for f in (tmp_path / "ledger" / ENDS).glob("*.json"):
+        f.write_text("".join(x + "\n" for x in f.read_text().splitlines() if json.loads(x)["shard_id"] != "2"))
+    last = max(json.loads(x)["seq"] for f in (tmp_path / "ledger" / ACKS).glob("*.json") for x in f.read_text().splitlines() if json.loads(x)["shard_id"] == "2")
+    for f in (tmp_path / "ledger" / ACKS).glob("*.json"):
+        f.write_text("".join(x + "\n" for x in f.read_text().splitlines() if (json.loads(x)["shard_id"], json.loads(x)["seq"]) != ("2", last)))
+    once = Target()
+    lost = L.load(spark, found, Sink(once.url), ledger, settings, str(tmp_path / "stage"), quiet)
+    assert (lost.chunks, lost.skipped) == (1, last) and 0 < len(once.lines) <= 16
+    with pytest.raises(Changed, match="chunk size"):
+        L.load(spark, found, Sink(once.url), ledger, L.Settings(chunk_bytes=512), str(tmp_path / "stage"), quiet)
 
 
 def test_damaged_shards_are_never_done(spark, tmp_path):
     top = shard_tree(tmp_path, 1)
     (tmp_path / "data/db/rp/0/2.tsm").write_bytes(b"rubbish, not a column file")
-    with Ledger(str(tmp_path / "l.db")) as ledger:
-        with pytest.raises(Exception, match="not a column file"):
-            L.load(spark, catalog.shards(top), Sink("http://127.0.0.1:1/"), ledger, L.Settings(), str(tmp_path / "s"), lambda x: None)
-        assert ledger.summary()[1] == 0
+    ledger = Ledger(str(tmp_path / "ledger"))
+    with pytest.raises(Exception, match="not a column file"):
+        L.load(spark, catalog.shards(top), Sink("http://127.0.0.1:1/"), ledger, L.Settings(), str(tmp_path / "s"), lambda x: None)
+    assert ledger.summary(spark)[1] == 0
 
 
 def test_report_and_command_line(spark, tmp_path, capsys):
@@ -267,7 +333,7 @@ def test_report_and_command_line(spark, tmp_path, capsys):
     (tmp_path / "v2" / "influxd.bolt").write_bytes(E.bolt({b"1": json.dumps({"id": user, "name": "telemetry", "type": 0}).encode(), b"2": json.dumps({"id": system, "name": "_tasks", "type": 1}).encode()}))
     assert cli.main(["--datadir", str(tmp_path / "v2"), "--dry-run", "--sample", "1"]) == 0
     said = capsys.readouterr().out
-    assert "telemetry: 1 shards, 2 points, 2 fields" in said and "m,s=1 v=1i 1" in said and "_tasks" not in said and "v=2i" not in said
+    assert "telemetry: 1 shards, 2 points, 2 fields, 1 keys, 0 keys in logs, 1 keys skipped" in said and "m,s=1 v=1i 1" in said and "_tasks" not in said and "v=2i" not in said
     args = cli.parser().parse_args(["--datadir", str(tmp_path / "v2"), "--dry-run"])
     tables = L.dry_run(spark, cli.find_shards(args), L.Settings())
     assert tuple(tables["keys"].first())[-3:] == (1, 0, 1) and tuple(tables["total"].first()) == (2, 2, 1)
@@ -300,6 +366,25 @@ def test_stream(spark, tmp_path):
     assert sorted(got) == [(1, 5), (2, 9)]
 
 
+def test_stream_of_logs(spark, tmp_path):
+    """What logs gain between two runs is read once, from whole frames on; a torn tail waits for its rest."""
+    from pointstream.streaming.tail import follow
+
+    k, log = f"m{SEP}v", tmp_path / "w" / "db" / "rp" / "1" / "_00001.wal"
+    frames = [E.wal(E.wal_entry([(k, 2, [(t, 10 * t + r)])])) for t, r in ((1, 0), (2, 0), (1, 5))]
+    tree(tmp_path / "w", {"db/rp/1/_00001.wal": frames[0] + frames[1][:-2]})
+    got = []
+
+    def run():
+        follow(spark, str(tmp_path / "w"), str(tmp_path / "ck"), lambda df, n: got.extend(sorted((r["ts_ns"], r["v_int"], r["database"]) for r in df.collect())), raw=True).awaitTermination(60)
+
+    run()
+    assert got == [(1, 10, "db")]
+    log.write_bytes(frames[0] + frames[1] + frames[2])
+    run()
+    assert got == [(1, 10, "db"), (1, 15, "db"), (2, 20, "db")]
+
+
 def test_empty(spark):
     values = read_values(spark, [])
     assert rejoin.lines(rejoin.points(values)).collect() == []

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from pointstream.plans import relational
+from pointstream.plans import formats, relational  # noqa: F401  formats adds its queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
