@@ -101,15 +101,16 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
 
     ``vectors``: vec_id, embedding.  Rows without id, vector, or with components null or not finite take no
     part.  Vectors of unequal lengths are filled with zeros.  Rows with the same id count as the query's own.  An id with
-    several different vectors has them all in one ranking: as a query, the best over its vectors; as a candidate, a
-    rank for each vector that is good enough.  Repeated rows count once.  An empty table gives no rows."""
+    several different vectors has them all in one ranking: as a query, the best of the ``k + 1`` best rows of each of its
+    vectors; as a candidate, a rank for each vector that is good enough.  Repeated rows count once.  An empty table
+    gives no rows."""
 
     rows = checkpoint(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_integers(scale), "vec_id long, vector binary").distinct())
     first = Window.partitionBy("vector").orderBy("vec_id")  # limited before the exchange as well
     ids = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
     classes = ids.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     asks = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select("vector").distinct().withColumn("asks", F.lit(True))
-    classes = checkpoint(classes.join(asks, "vector", "left").select(F.get("ids", F.lit(0)).alias("class"), "ids", "vector", F.coalesce("asks", F.lit(False)).alias("asks")))
+    classes = checkpoint(classes.join(asks, "vector", "left").select(F.monotonically_increasing_id().alias("class"), "ids", "vector", F.coalesce("asks", F.lit(False)).alias("asks")))
 
     def norms(batches):
         for b in batches:
@@ -118,7 +119,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
 
     most = classes.select("vector").mapInArrow(norms, "norm double, width int").agg(F.max("norm").alias("norm"), F.max("width").alias("width"), F.count("*").alias("n")).first()
     longest, width, many = most["norm"] or 0.0, most["width"] or 0, most["n"]
-    sample = _matrix([r["vector"] for r in classes.orderBy(F.xxhash64("class"), "class").select("vector").limit(SAMPLE).collect()], width)
+    sample = _matrix([r["vector"] for r in classes.orderBy(F.xxhash64("vector"), "vector").select("vector").limit(SAMPLE).collect()], width)
     centres = choose_pivots(sample, longest, pivots) if len(sample) else np.zeros((1, width + 1))
 
     def keyed(batches):
@@ -138,7 +139,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
 
         def close():
             counts = np.asarray([len(r["ids"]) for r in held], np.int32)
-            payload = pack_arrays(np.concatenate([r["ids"] for r in held]).astype(np.int64), counts, _matrix([r["vector"] for r in held], width).reshape(-1), np.asarray([r["asks"] for r in held]), np.asarray([r["distance"] for r in held]))
+            payload = pack_arrays(np.concatenate([r["ids"] for r in held]).astype(np.int64), counts, _matrix([r["vector"] for r in held], width).reshape(-1), np.asarray([r["asks"] for r in held]), np.asarray([r["distance"] for r in held]), np.asarray([r["class"] for r in held], np.int64))
             return batch(ring, annulus=[(task << 32) + count], pivot=[held[0]["pivot"]], low=[held[0]["distance"]], high=[held[-1]["distance"]], payload=[payload])
 
         for b in batches:
@@ -153,8 +154,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     rings = checkpoint(index.mapInArrow(cut, "annulus long, pivot int, low double, high double, payload binary"))
 
     def opened(payload: bytes):
-        ids, counts, flat, asks, distance = unpack_arrays(payload)
-        return ids, counts, flat.reshape(len(counts), width), asks, distance
+        ids, counts, flat, asks, distance, classes = unpack_arrays(payload)
+        return ids, counts, flat.reshape(len(counts), width), asks, distance, classes
 
     reach = pa.schema([("home", pa.int64()), ("pivot", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("queries", pa.binary())])
 
@@ -162,10 +163,10 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
         """Queries of an annulus: the bound that its own members give, and the distances from each pivot where better ones can be."""
         for b in batches:
             for home, payload in zip(b.column(0).to_pylist(), b.column(1)):
-                ids, counts, m, asks, _ = opened(payload.as_py())
+                _, counts, m, asks, _, names = opened(payload.as_py())
                 if not asks.any():
                     continue
-                q, names = m[asks], ids[np.cumsum(counts) - counts][asks]
+                q, names = m[asks], names[asks]
                 scores = np.repeat(products(q, m), counts, axis=1)
                 bound = np.partition(scores, scores.shape[1] - k - 1, axis=1)[:, scores.shape[1] - k - 1] if scores.shape[1] > k else np.full(len(q), -(2**63))
                 radius = np.where(bound > -(2**63), np.sqrt(np.maximum((q**2).sum(1) + longest - 2.0 * bound, 0)), np.inf)
@@ -199,7 +200,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     def search(group: pa.Table) -> pa.Table:
         at = next((x for x, p in enumerate(group.column("payload").to_pylist()) if p is not None), None)
         out = []
-        ids, counts, m, _, distance = opened(group.column("payload")[at].as_py())
+        ids, counts, m, _, distance, _ = opened(group.column("payload")[at].as_py())
         pivot = centres[[group.column("pivot")[at].as_py()]]
         for packed in group.column("queries").to_pylist():
             if packed is None:

@@ -138,3 +138,37 @@ def top(rows, k=5, every=50):
             s = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in whole if i != q)[:k]
             out |= {(q, r + 1, i, -x) for r, (x, i) in enumerate(s)}
     return out
+
+
+def rule_scores(docs, labels, buckets, low, xx):
+    """(score of each document, threshold), from the same hashes: ``xx(value, seed)`` of a word or number."""
+    signed = lambda h: h - 2**64 if h >= 2**63 else h
+    half = {i: (signed(xx(i, 42)) >> 20) % 2 == 0 for i in labels}
+    grams = {}
+    for i, t in docs:
+        h = [signed(xx(w, 42)) for w in words(t)]
+        grams[i] = [x % buckets for x in h] + [signed(xx(b, xx(a, 42))) % buckets for a, b in zip(h, h[1:])]
+    raw, target = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if labels.get(i) == 1 and half[i]:
+            target.update(g)
+    if not target:
+        return {i: 0.0 for i in grams}, float("-inf")
+    n, m = sum(target.values()), sum(raw.values())
+    ratio = [math.log((target[g] + 1) / (n + buckets)) - math.log((raw[g] + 1) / (m + buckets)) for g in range(buckets)]
+    score = {i: sum(ratio[x] for x in g) / len(g) if g else 0.0 for i, g in grams.items()}
+    failed = {i: r[-1] for i, r in rule_counts(docs).items()}
+    held = [i for i in labels if i in score and not half[i] and not failed[i]]
+    good = sorted(score[i] for i in held if labels[i] == 1)
+    if not good:
+        return score, float("-inf")
+
+    def quantile(q):
+        at = q * (len(good) - 1)
+        k = int(at)
+        return good[k] + (good[min(k + 1, len(good) - 1)] - good[k]) * (at - k)
+
+    least = quantile(low)
+    below = [score[i] for i in held if labels[i] != 1 and score[i] < least]
+    return score, (least + max(below)) / 2 if below else least - (quantile(0.5) - least) / 2
