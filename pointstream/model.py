@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-#: Value types, as in the column files; log files number them differently (see sources.wal).
+#: Value types, as in the column files; log files number them differently (see sources.wal).
 FLOAT, INTEGER, BOOLEAN, STRING, UNSIGNED = 0, 1, 2, 3, 4
 #: Where a value comes from; a later source wins.
 TSM, WAL = 0, 1
+#: Fixed value of the formats: stands between a series and a field.
 FIELD_SEPARATOR = "#!~#"
 
 
-
 def _fields(**kinds: T.DataType) -> list[T.StructField]:
     return [T.StructField(k, v) for k, v in kinds.items()]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model import SHARD_KEY, TSM, WAL
+from ..model import FIELD_SEPARATOR, SHARD_KEY, TSM, WAL
 
 
 def shard_stats(points: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def shard_stats(points: DataFrame) -> DataFrame:
 
 def key_stats(values: DataFrame) -> DataFrame:
     """For each shard: keys in column files (a key counts once a file), keys in logs, and occurrences of keys without a field."""
-    has_field = F.locate("#!~#", "raw_key") > 0
+    has_field = F.locate(FIELD_SEPARATOR, "raw_key") > 0
     occurrence = values.select(*SHARD_KEY, "src", "file_seq", F.when(F.col("src") == WAL, F.col("entry_seq")).alias("entry"), "raw_key", has_field.alias("ok")).distinct()
     by_file = occurrence.groupBy(*SHARD_KEY, "src", "file_seq", "raw_key", "ok").agg(F.count("*").alias("entries"))
     return by_file.groupBy(*SHARD_KEY).agg(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lineproto, units
-from ..model import BOOLEAN, FLOAT, INTEGER, PAYLOAD_COLUMNS, RAW, STRING, UNSIGNED
+from ..model import BOOLEAN, FIELD_SEPARATOR, FLOAT, INTEGER, PAYLOAD_COLUMNS, RAW, STRING, UNSIGNED
 from ..operators import rejoin, report, resume
 from ..sinks.files import write_lines
 from ..sinks.http import Rejected, Sink, parse_result
@@ -29,7 +29,6 @@ from . import load
 from .relational import events, query, read, values
 from .scratch import folder
 
-SEPARATOR = "#!~#"
 BIG = 2**63
 #: What an event gives to a column file: field, type in column files, type in logs.
 FIELDS = [("flag", BOOLEAN, 3), ("id", UNSIGNED, 5), ("k", INTEGER, 2), ("name", STRING, 4), ("value", FLOAT, 1)]
@@ -42,7 +41,7 @@ def _columns(rows: pd.DataFrame) -> dict[str, tuple[int, list]]:
         made = {"flag": own["event_id"] % 3 == 0, "id": [int(x) + BIG for x in own["event_id"]], "k": own["k"], "name": [f"{kind}-{x}".encode() for x in own["event_id"]], "value": own["value"]}
         for name, vtype, _ in FIELDS:
             cast = {BOOLEAN: bool, UNSIGNED: int, INTEGER: int, STRING: bytes, FLOAT: float}[vtype]
-            out[f"{kind},user={user}{SEPARATOR}{name}"] = (vtype, [(int(t), cast(v)) for t, v in zip(own["ts_ns"], made[name])])
+            out[f"{kind},user={user}{FIELD_SEPARATOR}{name}"] = (vtype, [(int(t), cast(v)) for t, v in zip(own["ts_ns"], made[name])])
     return out
 
 
@@ -166,7 +165,7 @@ def tsm_wal_lines(spark, sf_dir):
         kind = group["event_type"].iloc[0]
         yield f"data/{kind}/autogen/1/000001.tsm", writer.tsm(_columns(group), 100)
         late = group[group["event_id"] % 7 == 0].sort_values(["ts_ns", "event_id"])
-        yield f"wal/{kind}/autogen/1/_00001.wal", b"".join(writer.wal(writer.wal_entry([(f"{kind},user={u}{SEPARATOR}k", 2, [(int(t), int(k) + 1)])])) for u, t, k in zip(late["user_id"], late["ts_ns"], late["k"]))
+        yield f"wal/{kind}/autogen/1/_00001.wal", b"".join(writer.wal(writer.wal_entry([(f"{kind},user={u}{FIELD_SEPARATOR}k", 2, [(int(t), int(k) + 1)])])) for u, t, k in zip(late["user_id"], late["ts_ns"], late["k"]))
 
     _write(nanos(spark, sf_dir), place, make, ["event_type"])
     found = rejoin.points(read_values(spark, catalog.shards(f"{place}/data", f"{place}/wal")))

@@ -11,6 +11,7 @@ from pathlib import Path
 
 from .codecs import Damaged
 
+#: Fixed values of the format: mark of a meta page, kinds of pages, the flag of an element that is a bucket, and the bucket's name.
 MAGIC = 0xED0CDAED
 BRANCH, LEAF = 1, 2
 BUCKET = 1
