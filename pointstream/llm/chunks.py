@@ -24,7 +24,7 @@ OTHER_WHITE = re.compile("[\t\v-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u20
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 #: Entries of a cache's generation in a worker, of which there are two, and characters of a chunk in it: an entry has
 #: about 200 bytes, 600 at the most.
-CACHED, KEPT_CHARACTERS = 150_000, 64
+CACHED, KEPT_CHARACTERS = 450_000, 64
 
 
 def vocabulary(name: str) -> str:

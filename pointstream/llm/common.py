@@ -12,10 +12,13 @@ Conventions that hold for every operator here:
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import math
+import shutil
 import struct
 import tempfile
+import weakref
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -50,6 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
             if not sc.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             at = tempfile.mkdtemp(prefix="checkpoints-")
+            atexit.register(shutil.rmtree, at, True)
         sc.setCheckpointDir(at)
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -70,10 +74,18 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 _libc = ctypes.CDLL(None)
+_caches: list = []
 
 
 def relax() -> None:
-    """Gives memory that Python has freed back to the system: a worker lives on, idle, while the JVM beside it needs the room."""
+    """Empties caches that weren't used since the last call, and gives what Python has freed back to the system: a worker
+    lives on, idle or for other operators, while the JVM beside it needs the room."""
+    for ref in _caches:
+        if (cache := ref()) is not None:
+            if not cache.used:
+                cache.clear()
+                cache.old = {}
+            cache.used = False
     pa.default_memory_pool().release_unused()
     if hasattr(_libc, "malloc_trim"):
         _libc.malloc_trim(0)
@@ -309,7 +321,8 @@ class Generations(dict):
     ``cache[key]`` raises KeyError for keys in neither generation."""
 
     def __init__(self, most: int):
-        self.most, self.old = most, {}
+        self.most, self.old, self.used = most, {}, False
+        _caches.append(weakref.ref(self))
 
     def __missing__(self, key):
         self[key] = value = self.old[key]
@@ -317,6 +330,7 @@ class Generations(dict):
 
     def turn(self) -> None:
         """To be called between pieces of work."""
+        self.used = True
         if len(self) > self.most:
             self.old = dict(self)
             self.clear()
