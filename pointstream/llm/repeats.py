@@ -123,12 +123,13 @@ class Block:
 
 
 def minimisers(least: int):
-    """A block's distinct minimisers, and how many bytes each one's segments have."""
+    """A block's distinct minimisers, and how many bytes each one's distinct segments have."""
 
     def run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
         own = Block(blob, least)
-        keys, of = np.unique(own.value, return_inverse=True)
-        return keys, np.bincount(of, own.lengths, len(keys))
+        own.distinct(np.unique(own.value))
+        keys, of = np.unique(own.key, return_inverse=True)
+        return keys, np.bincount(of, [len(x) for x in own.strings], len(keys))
 
     return run
 
@@ -454,7 +455,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, digest: bool = False, ch
     Null texts are empty.  Rows with the same id start at the same places, so neither is earlier; a row
     without an id comes after all others."""
     stored = blocks(texts(docs))
-    hot = frequent(stored, minimisers(least), 1 / (4 * stored.buckets(MOVED_SEGMENTS)))
+    hot = frequent(stored, minimisers(least), 1 / (2 * stored.buckets(MOVED_SEGMENTS)))
     many = stored.buckets(MOVED_VALUES)
     values = answer(scatter(stored, send_values(least, many, hot)), many, repeated_values)
     many = stored.buckets(MOVED_SEGMENTS)

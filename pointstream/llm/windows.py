@@ -91,12 +91,12 @@ class Block:
 
 
 def minimisers(width: int):
-    """The distinct minimisers of a block's super-k-mers, and how many words each one's super-k-mers have."""
+    """The distinct minimisers of a block's super-k-mers, and how many bytes each one's distinct super-k-mers have."""
 
     def run(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
         own = Block(blob, width)
-        keys, of = np.unique(own.key_of, return_inverse=True)
-        return keys, np.bincount(of, own.lengths + width - 1, len(keys))
+        keys, of = np.unique(own.key, return_inverse=True)
+        return keys, np.bincount(of, [len(x) for x in own.strings], len(keys))
 
     return run
 
@@ -219,6 +219,6 @@ def remove_repeated_windows(docs: DataFrame, width: int = WIDTH, digest: bool =
     no smaller than each other; a row without an id comes after all others."""
     stored = blocks(texts(docs))
     many = stored.buckets(MOVED)
-    hot = frequent(stored, minimisers(width), 1 / (4 * many))
+    hot = frequent(stored, minimisers(width), 1 / (2 * many))
     replies = answer(scatter(stored, send(width, many, hot)), many, reply(width))
     return resolve(stored, replies, _finish(width, digest, hot), "doc_id long, n_words long, n_removed long, kept binary")
