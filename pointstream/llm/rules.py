@@ -27,11 +27,7 @@ LOW = 0.0005
 
 #: What separates words, and what counts as a symbol.
 SPACE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-
-
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+SYMBOLS = "[#*$%&|<>]"
 
 
 def _words(text: Column) -> Column:
@@ -43,8 +39,8 @@ def _upto(last: Column) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashes(text: Column) -> Column:
-    return F.transform(_words(text), lambda w: F.xxhash64(w))
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _grams(buckets: int) -> Column:
@@ -63,20 +59,20 @@ def _settled(df: DataFrame) -> DataFrame:
 
 def counted(docs: DataFrame, *carried: str) -> DataFrame:
     """doc_id, the words' hashes, the counts n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), and ``carried`` columns."""
-    split = docs.select(
+    split = docs.select("doc_id", *carried, "text", _words(F.col("text")).alias("words")).select(
         "doc_id",
         *carried,
-        _hashes(F.col("text")).alias("hashes"),
-        _without(F.col("text"), SPACE).alias("word_chars"),
-        (F.length("text") - _without(F.col("text"), SYMBOLS)).alias("n_symbols"),
-        F.filter(F.split("text", "\n"), lambda x: _without(x, SPACE) > 0).alias("lines"),
+        _hashes(F.col("words")).alias("hashes"),
+        F.length(F.array_join("words", "")).alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOLS)).alias("n_symbols"),
+        F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x, F.lit(SPACE))) > 0).alias("lines"),
     )
     triples = F.transform(_upto(F.size("hashes") - 3), lambda i: F.xxhash64(F.get("hashes", i), F.get("hashes", i + 1), F.get("hashes", i + 2)))
     hashed = split.select("*", (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"), triples.alias("triples"))
     # where a triple occurs twice, triples in order of hash and place show which have an equal neighbour
-    sorted_ = hashed.withColumn("sorted", F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.array_sort(F.transform("triples", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    sorted_ = hashed.withColumn("sorted", F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.sort_array(F.transform("triples", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     same = lambda x, k: F.coalesce(x["h"] == F.get("sorted", k)["h"], F.lit(False))
-    places = F.array_sort(F.array_remove(F.transform("sorted", lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), x["i"]).otherwise(-1)), -1))
+    places = F.sort_array(F.array_remove(F.transform("sorted", lambda x, k: F.when(same(x, k - 1) | same(x, k + 1), x["i"]).otherwise(-1)), -1))
     placed = sorted_.withColumn("places", F.when(F.col("sorted").isNotNull(), places))
     # each window covers its three words, less what the next one covers too
     fresh = F.transform("places", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("places", k + 1) - p, F.lit(3))))
@@ -131,7 +127,7 @@ def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, sample: in
         .select("doc_id", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("good"), (F.pmod(F.shiftright(F.xxhash64("doc_id"), 20), F.lit(2)) == 0).alias("half"))
     )
     marked = docs.join(F.broadcast(labelled.where("good and half").select("doc_id", "half")), "doc_id", "left")
-    grams = marked.select("half", _hashes(F.col("text")).alias("hashes")).select("half", F.explode(_grams(buckets)).alias("g"))
+    grams = marked.select("half", _hashes(_words(F.col("text"))).alias("hashes")).select("half", F.explode(_grams(buckets)).alias("g"))
     counts = grams.groupBy("g").agg(F.count("*").alias("raw"), F.count_if("half").alias("target")).collect()  # ``buckets`` rows at the most
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
