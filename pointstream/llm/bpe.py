@@ -19,7 +19,7 @@ from .chunks import CHUNK, KEPT_CHARACTERS
 from .common import Generations, batch, parts, relaxing, texts
 
 #: Longer words (in bytes; positions have 8 bits in the query) are contracted outside SQL by the same rule, as a query's steps times its rows grow with the square of the length.
-LONG_WORD = 128
+LONG_WORD = 255
 #: Words in one recursive query.
 WORDS = 50_000
 #: Text bytes whose new words are solved together.

@@ -87,7 +87,8 @@ class Scanner:
             for first, last, missing, added in self.confirmed(self.words[name], words):
                 start = spans[first][0]
                 found.append((start, spans[last][1], name, pieces[min(start // step, len(pieces) - 1)][name], missing, added))
-        found.sort(key=lambda r: (r[0] - r[1], r[4] + r[5], r[2]))  # longer notices hide what lies inside them
+        # longer notices hide what lies inside them; of equally long ones the wording decides, then what they save
+        found.sort(key=lambda r: (r[0] - r[1], r[4] + r[5], -r[3], r[2]))
         out: list[tuple[int, int, str, int, int, int]] = []
         for r in found:
             if all(r[1] <= o[0] or r[0] >= o[1] for o in out):
