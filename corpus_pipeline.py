@@ -38,13 +38,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand earlier, n_chars as they are now; documents of which nothing is left go, and so do
     those with an empty or null text.  Repeated rows have equal results; an empty table stays one."""
-    found = repeats.remove_repeats(docs, characters=True).select(F.col("doc_id").alias("key"), "text_md5", F.col("kept").cast("string").alias("cut"))
-    # the new text moves once, the old one not at all
+    # ids in a struct, as it is never null: so the join can use the exchange that drops the duplicates, and the new text
+    # moves once, the old one not at all
+    key = lambda c: F.struct(F.col(c).cast("long").isNull().alias("nameless"), F.coalesce(F.col(c).cast("long"), F.lit(0)).alias("id")).alias("key")
+    found = repeats.remove_repeats(docs, characters=True).select(key("doc_id"), "text_md5", F.col("kept").cast("string").alias("cut"))
     found = found.dropDuplicates(["key", "text_md5"])
     others = F.struct(*(docs[c] for c in docs.columns if c not in ("text", "n_chars"))).alias("row")
-    rest = docs.select(others, F.col("doc_id").cast("long").alias("id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("md5"))
+    rest = docs.select(others, key("doc_id"), F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_md5"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
-    joined = rest.join(found, (F.col("md5") == F.col("text_md5")) & F.col("id").eqNullSafe(F.col("key"))).where("cut <> ''")
+    joined = rest.join(found, ["key", "text_md5"]).where("cut <> ''")
     return joined.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
 
 
@@ -59,9 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written as Parquet and read again."""
+    """All stages over ``documents``; each one's rows are written as Parquet and read again, and go when the next one's are
+    there.  The last one's are the result's and stay in the shared folder until the caller removes them."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            before = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{k - 1}")
+            before.getFileSystem(spark._jsc.hadoopConfiguration()).delete(before, True)
     return docs
