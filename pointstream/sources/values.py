@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from .codecs import Damaged
 
 BATCH = 65_536
 COLUMN = {FLOAT: "v_float", INTEGER: "v_int", UNSIGNED: "v_uint", BOOLEAN: "v_bool", STRING: "v_str"}
+#: How numbers of a type are held on their way to a column.
+HELD = {FLOAT: np.float64, INTEGER: np.int64, UNSIGNED: np.uint64, BOOLEAN: bool}
 SHARD_COLUMNS = ("source_id", "database", "retention", "shard_id")
 FILES = "source_id string, database string, retention string, shard_id string, src tinyint, file_seq int, path string"
 PARTS = FILES + ", begin long, stop long, bytes long"
@@ -33,34 +36,63 @@ def _text(raw: bytes) -> str:
     return raw.decode("utf-8", "backslashreplace")
 
 
-def batches_of(schema: pa.Schema, shard: dict, order: tuple, key: bytes, kind: int, times, values) -> Iterator[pa.RecordBatch]:
-    """Batches of one key's values; ``order`` is source, file, frame and place of the first value."""
-    src, file_seq, entry_seq, first = order
-    same = {**shard, "src": src, "file_seq": file_seq, "entry_seq": entry_seq, "raw_key": _text(key), "vtype": kind}
-    for at in range(0, len(times), BATCH):
-        some, own = times[at : at + BATCH], values[at : at + BATCH]
-        n = len(some)
-        if kind == STRING:
-            own = [_text(v) for v in own]
-        elif kind == UNSIGNED:
-            own = pa.array(own, pa.uint64()).cast(pa.decimal128(20, 0))
-        columns = {"ord": range(first + at, first + at + n), "ts_ns": some, COLUMN[kind]: own}
-        arrays = [
-            pa.repeat(pa.scalar(same[f.name], f.type), n) if f.name in same
-            else columns[f.name] if isinstance(columns.get(f.name), pa.Array)
-            else pa.array(columns[f.name], f.type) if f.name in columns
-            else pa.nulls(n, f.type)
-            for f in schema
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+class Batches:
+    """Rows of one file in batches of many columns' values, as a block may have few."""
+
+    def __init__(self, schema: pa.Schema, shard: dict, src: int, file_seq: int):
+        self.schema, self.same = schema, {**shard, "src": src, "file_seq": file_seq}
+        self.held: list[tuple] = []
+        self.size = 0
+
+    def add(self, frame: int, first: int, key: bytes, kind: int, times: np.ndarray, values) -> Iterator[pa.RecordBatch]:
+        """One key's values; ``frame`` and ``first`` are the place of the first one in the file's order."""
+        for at in range(0, len(times), BATCH):
+            self.held.append((frame, first + at, _text(key), kind, times[at : at + BATCH], values[at : at + BATCH]))
+            self.size += len(self.held[-1][4])
+            if self.size >= BATCH:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        held, n = self.held, self.size
+        self.held, self.size = [], 0
+        frames, firsts, keys, kinds, times, values = zip(*held)
+        counts = np.asarray([len(t) for t in times])
+        ends = np.cumsum(counts)
+        starts = ends - counts
+        which = np.repeat(np.arange(len(held)), counts)
+        columns = {
+            "entry_seq": pa.array(np.asarray(frames, np.int64)[which]),
+            "ord": pa.array(np.asarray(firsts, np.int64)[which] + np.arange(n) - starts[which]),
+            "raw_key": pa.array(keys, pa.string()).take(pa.array(which)),
+            "ts_ns": pa.array(np.concatenate(times).astype(np.int64)),
+            "vtype": pa.array(np.asarray(kinds, np.int8)[which]),
+        }
+        for kind in set(kinds):
+            mine = [k for k in range(len(held)) if kinds[k] == kind]
+            if kind == STRING:
+                column: list = [None] * n
+                for k in mine:
+                    column[starts[k] : ends[k]] = [_text(v) for v in values[k]]
+                columns[COLUMN[kind]] = pa.array(column, pa.string())
+                continue
+            column, none = np.zeros(n, HELD[kind]), np.ones(n, bool)
+            for k in mine:
+                column[starts[k] : ends[k]], none[starts[k] : ends[k]] = values[k], False
+            array = pa.array(column, mask=none)
+            columns[COLUMN[kind]] = array.cast(pa.decimal128(20, 0)) if kind == UNSIGNED else array
+        arrays = [columns[f.name] if f.name in columns else pa.repeat(pa.scalar(self.same[f.name], f.type), n) if f.name in self.same else pa.nulls(n, f.type) for f in self.schema]
+        yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
 def wal_batches(schema: pa.Schema, shard: dict, file_seq: int, f, low: int, high: int, begin: int = 0, end: int | None = None, keys: tuple[bytes, bytes] | None = None) -> Iterator[pa.RecordBatch]:
-    place = 0
+    out, place = Batches(schema, shard, WAL, file_seq), 0
     for frame, key, kind, times, values in wal.columns(f, begin, end):
         first, place = place, place + len(times)
         if (not keys or keys[0] <= key <= keys[1]) and len(times) and times.max() >= low and times.min() <= high:
-            yield from batches_of(schema, shard, (WAL, file_seq, frame, first), key, kind, times, values)
+            yield from out.add(frame, first, key, kind, times, values)
+    yield from out.flush()
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -98,8 +130,10 @@ def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int
                     if r["src"] == WAL:
                         yield from wal_batches(schema, shard, r["file_seq"], f, start, end, keys=span)
                     else:
+                        out = Batches(schema, shard, TSM, r["file_seq"])
                         for key, first, kind, times, values in tsm.read(f, start, end, span, check, (r["begin"], r["stop"])):
-                            yield from batches_of(schema, shard, (TSM, r["file_seq"], 0, first), key, kind, times, values)
+                            yield from out.add(0, first, key, kind, times, values)
+                        yield from out.flush()
             except Damaged as e:
                 raise Damaged(f"{r['path']}: {e}") from e
 
