@@ -221,7 +221,7 @@ def bolt_buckets(spark, sf_dir):
     place = folder(spark)
     rows = {b"%03d" % r["n_nationkey"]: json.dumps({"id": f"{r['n_nationkey']:016x}", "name": r["n_name"], "type": int(r["n_regionkey"] == 0)}).encode() for r in _nations(spark, sf_dir)}
     _touch(place, ["engine/data/x/y"])
-    Path(place, "influxd.bolt").write_bytes(writer.bolt(rows))
+    Path(bolt.default_path(f"{place}/engine/data")).write_bytes(writer.bolt(rows))
     return spark.createDataFrame(bolt.load(bolt.default_path(f"{place}/engine/data")), "id string, name string, type int")
 
 
