@@ -23,6 +23,8 @@ from . import tsm, wal
 from .codecs import Damaged
 
 BATCH = 65_536
+#: Bytes of files for which there is a further task, if ranges are smaller; a task reads several then.
+TASK_BYTES = 4 << 20
 COLUMN = {FLOAT: "v_float", INTEGER: "v_int", UNSIGNED: "v_uint", BOOLEAN: "v_bool", STRING: "v_str"}
 #: How numbers of a type are held on their way to a column.
 HELD = {FLOAT: np.float64, INTEGER: np.int64, UNSIGNED: np.uint64, BOOLEAN: bool}
@@ -108,7 +110,7 @@ def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int
         return spark.createDataFrame([], RAW)
     # fixed numbers of tasks, as these small rows stand for much work; by the files' sizes, which the listing has looked at
     names = spark.createDataFrame(listing, FILES).repartition(min(len(listing), 10_000), "path")
-    tasks = min(len(listing) + sum(os.stat(r[-1]).st_size for r in listing) // split, 100_000)
+    tasks = min(len(listing) + sum(os.stat(r[-1]).st_size for r in listing) // max(split, TASK_BYTES), 100_000)
     schema, parts = to_arrow_schema(RAW), to_arrow_schema(spark.createDataFrame([], PARTS).schema)
     span = tuple(k.encode() for k in keys) if keys else None
 
