@@ -107,3 +107,14 @@ def test_groups_of_many_columns(spark, tmp_path, monkeypatch):
     rows = spark.range(1000).selectExpr("'a' grp", "id", "id * 3 v")
     made = formats._encoded(rows, bulk.integers).collect()
     assert len(made) >= 10 and sorted(r["first"] for r in made)[0] == 0 and max(r["first"] for r in made) < 1000
+
+
+def crowded(folder):
+    """Several users and files, and events of one user at the same time."""
+    return events_table(folder, [(k + 1000 * c, k // 3 * 86_400_000_000 // 7, k % 30, ("click", "view")[k % 2], k / 8, k % 9) for c in range(3) for k in range(400)])
+
+
+@pytest.mark.parametrize("name", ["tsm_values", "tsm_key_range", "tsm_time_range"])
+def test_shards_of_many_files(spark, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(formats, "FILE_EVENTS", 100)
+    same_as_sql(spark, crowded(tmp_path), name)
