@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,21 @@ class Cutter:
             self.seq, self.held = self.seq + 1, 0
         return at
 
+    def add_all(self, sizes: np.ndarray) -> np.ndarray:
+        """The same for many lines, a step for each chunk."""
+        ends, out, at = np.cumsum(sizes, dtype=np.int64), np.empty(len(sizes), np.int32), 0
+        while at < len(sizes):
+            before = int(ends[at - 1]) if at else 0
+            # lines that fit without closing the chunk; the next one closes it, or goes to another one
+            fit = int(np.searchsorted(ends, before + self.limit - self.held, "left"))
+            out[at:fit] = self.seq
+            if fit > at:
+                self.held += int(ends[fit - 1]) - before
+            if fit < len(sizes):
+                out[fit] = self.add(int(sizes[fit]))
+            at = fit + 1
+        return out
+
 
 def cut(sizes: Iterable[int], limit: int) -> list[int]:
     cutter = Cutter(limit)
@@ -49,11 +66,15 @@ def numbers(lines: DataFrame, limit: int = DEFAULT_BYTES) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, cutter = None, Cutter(limit)
         for b in batches:
-            seq = []
-            for *now, n in zip(*(b.column(c).to_pylist() for c in (*SHARD_KEY, "nbytes"))):
+            sizes, seq = b.column("nbytes").to_numpy(), np.empty(b.num_rows, np.int32)
+            names_of = [pc.run_end_encode(b.column(c)).run_ends.to_numpy() for c in SHARD_KEY]
+            at = 0
+            for end in np.unique(np.concatenate(names_of)).tolist():
+                now = [b.column(c)[at].as_py() for c in SHARD_KEY]
                 if now != shard:
                     shard, cutter = now, Cutter(limit)
-                seq.append(cutter.add(n))
+                seq[at:end] = cutter.add_all(sizes[at:end])
+                at = end
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(seq, pa.int32())], names=[*names, "seq"])
 
     schema = T.StructType([*narrow.schema, T.StructField("seq", T.IntegerType())])

@@ -111,10 +111,27 @@ def test_groups_of_many_columns(spark, tmp_path, monkeypatch):
 
 def crowded(folder):
     """Several users and files, and events of one user at the same time."""
-    return events_table(folder, [(k + 1000 * c, k // 3 * 86_400_000_000 // 7, k % 30, ("click", "view")[k % 2], k / 8, k % 9) for c in range(3) for k in range(400)])
+    return events_table(folder, [(k + 1000 * c, k // 3 * 86_400_000_000 // 7, k % 30, ("click", "view")[k % 2], k / 4, k % 9) for c in range(3) for k in range(400)])
 
 
 @pytest.mark.parametrize("name", ["tsm_values", "tsm_key_range", "tsm_time_range"])
 def test_shards_of_many_files(spark, tmp_path, monkeypatch, name):
     monkeypatch.setattr(formats, "FILE_EVENTS", 100)
     same_as_sql(spark, crowded(tmp_path), name)
+
+
+@pytest.mark.parametrize("name", ["tsm_wal_lines", "dry_run", "lines_as_text", "deliver_lines", "deliver_resumed"])
+def test_crowded_points(spark, tmp_path, monkeypatch, name):
+    """Many events at one point: the last one counts, and a log has later writes of that one only."""
+    monkeypatch.setattr(formats, "FILE_EVENTS", 100)
+    same_as_sql(spark, crowded(tmp_path), name)
+
+
+def test_cuts_a_step_for_each_chunk():
+    from pointstream.operators import chunking
+
+    rng = np.random.default_rng(1)
+    for limit in (1, 5, 25, 100):
+        for _ in range(100):
+            sizes, cutter = rng.choice([0, 1, 3, 10, 25, 26, 200], 60), chunking.Cutter(limit)
+            assert [*cutter.add_all(sizes[:23]), *cutter.add_all(sizes[23:])] == chunking.cut(sizes.tolist(), limit)
