@@ -85,9 +85,8 @@ class Block:
 
     def words(self) -> tuple[list[bytes], np.ndarray]:
         """The distinct tokens, the first and empty one is a document's end, and which one each word is."""
-        words = list(dict.fromkeys(chain([b""], chain.from_iterable(self.tokens))))
-        number = {w: k for k, w in enumerate(words)}
-        return words, np.fromiter(map(number.__getitem__, chain.from_iterable(self.tokens)), np.int64, sum(map(len, self.tokens)))
+        coded = pa.array([b"", *chain.from_iterable(self.tokens)], pa.large_binary()).dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy()[1:].astype(np.int64)
 
     def word_counts(self) -> tuple[list[bytes], np.ndarray]:
         """The distinct tokens and their training counts."""
@@ -100,11 +99,11 @@ class Block:
         """For each document the sum over its strings of what ``logs_of`` gives for the block's distinct ones, in order."""
         held, every = [], []
         for a, b, grams, starts in self.pieces():
-            order = np.argsort(grams)
+            order = np.argsort(grams).astype(np.int32)
             grams = grams[order]
             heads = _heads(grams)
             every.append(grams[heads])
-            held.append((a, b, starts, order.astype(np.int32), np.diff(np.concatenate([heads, [len(grams)]]))))
+            held.append((a, b, starts, order, np.diff(np.concatenate([heads, [len(grams)]]))))
         out = np.zeros(len(self.tokens))
         if held:
             grams = np.sort(np.concatenate(every))
