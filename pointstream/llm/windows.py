@@ -12,7 +12,6 @@ however frequent, makes a bucket larger than others."""
 from __future__ import annotations
 
 import hashlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -59,9 +58,11 @@ class Block:
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
         self.words = words = [w for s in split for w in s]
         del split
-        number = {w: k for k, w in enumerate(dict.fromkeys(words))}
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), np.uint64, len(number))
-        flat = hashes[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
+        number = pa.array(words, pa.large_binary()).dictionary_encode()
+        distinct = number.dictionary.to_pylist()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+        flat = hashes[number.indices.to_numpy()]
+        del number, distinct
         wide = min(WIDE, width)
         grams = np.zeros(max(0, len(flat) - wide + 1), np.uint64)
         for k in range(wide):
@@ -132,6 +133,18 @@ def equal_groups(columns: np.ndarray, width: int, starts: np.ndarray) -> tuple[n
     raise AssertionError("eight 64-bit hashes in a row collided")
 
 
+def numbered(lengths: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words each of some strings has, and a number for each word, the same for equal ones.  The strings lie one after
+    the other in ``data`` (uint8) and have ``lengths`` bytes; one blank parts their words."""
+    blanks, ends = np.flatnonzero(data == 32), np.cumsum(lengths, dtype=np.int64)
+    counts = np.diff(np.searchsorted(blanks, ends), prepend=0) + 1
+    # without the blanks, words end where these or strings did
+    at = np.sort(np.concatenate([blanks, ends]))
+    offsets = np.concatenate([[0], at - np.searchsorted(blanks, at)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[data != 32])])
+    return counts, words.dictionary_encode().indices.to_numpy()
+
+
 def reply(width: int):
     """For each block, runs of windows (super-k-mer, from, to) that a smaller document has."""
 
@@ -139,17 +152,7 @@ def reply(width: int):
         entries = [unpack_arrays(p) for p in payloads]
         smallest = np.concatenate([e[0] for e in entries])
         sender = np.repeat(np.arange(len(entries)), [len(e[0]) for e in entries])
-        number: dict[bytes, int] = {}
-        counts, flat = [], array("i")
-        for _, _, lengths, data in entries:
-            raw, at = data.tobytes(), 0
-            for n in lengths.tolist():
-                words = raw[at : at + n].split(b" ")
-                counts.append(len(words))
-                flat.extend([number.setdefault(w, len(number)) for w in words])
-                at += n
-        columns, counts = np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32), np.asarray(counts, np.int64)
-        del number
+        counts, columns = numbered(*(np.concatenate([e[k] for e in entries]) for k in (2, 3)))
         first = np.concatenate([[0], np.cumsum(counts)[:-1]])
         windows = counts - width + 1
         entry = np.repeat(np.arange(len(counts)), windows)

@@ -690,3 +690,12 @@ def test_pipeline_of_odd_rows(spark, docs_table, tmp_path):
         assert [g for g in got if g[0] != "4"] == want and [g[1].strip() for g in got if g[0] == "4"] == ([good[3]] if own else [])
         packed = corpus_pipeline.pack(spark, left, str(tmp_path)).collect()
         assert len(packed) == len(got) and check_packing(packed, 2048) == (2 if own else 0)
+
+
+def test_words_are_numbered_like_a_dictionary_does():
+    """op5: numbers of words in a bucket's strings, without a step in Python for each word."""
+    strings = [b"a bb a", "é 中".encode(), b"bb", b"a\x00 a"]
+    counts, numbers = windows.numbered(np.asarray([len(s) for s in strings], np.int32), np.frombuffer(b"".join(strings), np.uint8))
+    known: dict[bytes, int] = {}
+    assert counts.tolist() == [3, 2, 1, 2]
+    assert numbers.tolist() == [known.setdefault(w, len(known)) for s in strings for w in s.split(b" ")]
