@@ -8,9 +8,11 @@ bounded cache by chunk of text (see ``chunks``), so a text costs a few look-ups.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -20,8 +22,10 @@ from .common import Generations, batch, parts, relaxing, texts
 
 #: Longer words (in bytes; positions have 8 bits in the query) are contracted outside SQL by the same rule, as a query's steps times its rows grow with the square of the length.
 LONG_WORD = 255
-#: Words in one recursive query.
-WORDS = 50_000
+#: Words in one recursive query; with 50,000 it took 5 to 20 % more time a word.
+WORDS = 10_000
+#: Words whose tokens are decoded together.
+DECODED = 50_000
 #: Text bytes whose new words are solved together.
 TOGETHER = 6 << 20
 #: Entries of a generation of each of the two caches in a worker; chunks and words over ``KEPT_CHARACTERS`` don't stay in them.
@@ -29,22 +33,23 @@ KEPT = 200_000
 
 ENCODE = """
 WITH RECURSIVE step(it, k, t) AS (
-    SELECT 0, (w::BIGINT << 8) | p, t FROM bytes_of_words
+    SELECT 0, k, t FROM bytes_of_words
   UNION ALL
-    SELECT it + 1, k, CASE WHEN k = best & 4294967295 THEN best >> 32 ELSE t END
-    FROM (SELECT it, k, t, lag(k) OVER (ORDER BY k) AS before FROM step) s
-    JOIN (
-        SELECT c.k >> 8 AS w, min((m.merged::BIGINT << 32) | c.k) AS best
-        FROM (SELECT k, t, lead(k) OVER o AS next_k, lead(t) OVER o AS next_t FROM step WINDOW o AS (ORDER BY k)) c
-        JOIN merges m ON m.l = c.t AND m.r = c.next_t
-        WHERE next_k >> 8 = k >> 8 GROUP BY 1
+    SELECT it + 1, k, CASE WHEN k = head THEN (best >> 40)::INT ELSE t END
+    FROM step s JOIN (
+        SELECT w, best, best & 4294967295 AS head, best >> 32 & 255 AS size FROM (
+            SELECT c.k >> 8 AS w, min((m.merged::BIGINT << 40) | (m.size::BIGINT << 32) | c.k) AS best
+            FROM (SELECT k, t, lead(k) OVER o AS next_k, lead(t) OVER o AS next_t FROM step WINDOW o AS (ORDER BY k)) c
+            JOIN merges m ON m.l = c.t AND m.r = c.next_t
+            WHERE next_k >> 8 = k >> 8 GROUP BY 1
+        )
     ) b ON b.w = s.k >> 8
-    WHERE before IS NULL OR before <> best & 4294967295
+    WHERE k <= head OR k >= head + size
 ), ended AS (SELECT k >> 8 AS w, max(it) AS it FROM step GROUP BY 1)
 SELECT (s.k >> 8)::INT AS w, (s.k & 255)::INT AS p, s.t FROM step s JOIN ended e ON e.w = s.k >> 8 AND e.it = s.it
 """
 DECODE = """
-SELECT w, string_agg(t::VARCHAR, ',' ORDER BY p) AS ids, count(*) AS n, string_agg(hex(v.piece), '' ORDER BY p) AS decoded
+SELECT w, array_to_string(list(t ORDER BY p), ',') AS ids, count(*) AS n, array_to_string(list(hex(v.piece) ORDER BY p), '') AS decoded
 FROM encoded JOIN vocabulary v ON v.id = t GROUP BY w
 """
 
@@ -87,16 +92,17 @@ class BpeCodec:
 
         self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
         self.pieces = {i: x for x, i in self.ranks.items()}
+        self.of_byte = np.asarray([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.cache = Generations(most)
         self.words = Generations(most)
         # all in memory: what a worker spilt would lie in a folder of its own
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False})
-        merges = [(self.ranks[x[:k]], self.ranks[x[k:]], i) for x, i in self.ranks.items() for k in range(1, len(x)) if x[:k] in self.ranks and x[k:] in self.ranks]
-        self._load("merges", l=[m[0] for m in merges], r=[m[1] for m in merges], merged=[m[2] for m in merges])
+        merges = [(self.ranks[x[:k]], self.ranks[x[k:]], i, len(x)) for x, i in self.ranks.items() if len(x) <= LONG_WORD for k in range(1, len(x)) if x[:k] in self.ranks and x[k:] in self.ranks]
+        self._load("merges", **{name: [m[k] for m in merges] for k, name in enumerate(("l", "r", "merged", "size"))})
         self._load("vocabulary", id=list(self.pieces), piece=list(self.pieces.values()))
 
-    def _load(self, name: str, **columns: list) -> None:
-        given = pa.table({k: pa.array(v, pa.int32() if not v or isinstance(v[0], int) else pa.binary()) for k, v in columns.items()})
+    def _load(self, name: str, **columns: list | np.ndarray) -> None:
+        given = pa.table({k: pa.array(v) if isinstance(v, np.ndarray) else pa.array(v, pa.int32() if not v or isinstance(v[0], int) else pa.binary()) for k, v in columns.items()})
         self.db.register("given", given)
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
@@ -106,14 +112,14 @@ class BpeCodec:
         raw = [w.encode("utf-8") for w in words]
         single = {k: self.ranks[x] for k, x in enumerate(raw) if x in self.ranks}  # a whole word that is a token stays one
         long = {k: heap_merge(x, self.ranks) for k, x in enumerate(raw) if len(x) > LONG_WORD and k not in single}
-        w, p, t = [], [], []
-        for k, x in enumerate(raw):
-            if k not in single and k not in long:
-                w += [k] * len(x)
-                p += range(len(x))
-                t += [self.ranks[x[i : i + 1]] for i in range(len(x))]
-        self._load("bytes_of_words", w=w, p=p, t=t)
-        self.db.execute(f"CREATE OR REPLACE TEMP TABLE encoded AS {ENCODE}")
+        rest = [k for k in range(len(raw)) if k not in single and k not in long]
+        self.db.execute("CREATE OR REPLACE TEMP TABLE encoded (w INT, p INT, t INT)")
+        for at in range(0, len(rest), WORDS):
+            own = rest[at : at + WORDS]
+            sizes = np.asarray([len(raw[k]) for k in own])
+            w, data = np.repeat(np.asarray(own), sizes), np.frombuffer(b"".join([raw[k] for k in own]), np.uint8)
+            self._load("bytes_of_words", k=w << 8 | np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes), t=self.of_byte[data])
+            self.db.execute(f"INSERT INTO encoded {ENCODE}")
         rest = [(k, 0, i) for k, i in single.items()] + [(k, q, i) for k, own in long.items() for q, i in enumerate(own)]
         if rest:
             self.db.register("given", pa.table({n: pa.array(c, pa.int64()) for n, c in zip("wpt", zip(*rest))}))
@@ -123,28 +129,40 @@ class BpeCodec:
 
     def learn(self, chunks: list[str]) -> None:
         split = [self.pattern.findall(c) for c in chunks]
-        new = list({w for s in split for w in s if w not in self.words and w not in self.words.old})
-        for at in range(0, len(new), WORDS):
-            self.words.update(self.solve(new[at : at + WORDS]))
+        new = [w for w in set().union(*split) if w not in self.words and w not in self.words.old]
+        for at in range(0, len(new), DECODED):
+            self.words.update(self.solve(new[at : at + DECODED]))
+        get = self.words.__getitem__
         for c, s in zip(chunks, split):
-            found = [self.words[w] for w in s]
-            self.cache[c] = (",".join(f[0] for f in found), b"".join(f[2] for f in found))
+            if len(s) == 1:
+                self.cache[c] = get(s[0])
+                continue
+            ids, _, decoded = zip(*map(get, s))
+            self.cache[c] = (",".join(ids), 0, b"".join(decoded))
 
     def texts(self, some: list[str]) -> list[tuple[str, bytes]]:
-        """For each text its ids, joined by commas, and the bytes that they decode to."""
+        """For each text its ids, joined by commas, and the bytes that they decode to.
+
+        Python's search for cycles rests meanwhile: it would go through all of the caches' entries again and again, which
+        make none."""
+        searched = gc.isenabled()
+        gc.disable()
+        try:
+            return self._texts(some)
+        finally:
+            if searched:
+                gc.enable()
+
+    def _texts(self, some: list[str]) -> list[tuple[str, bytes]]:
         self.cache.turn()
         self.words.turn()
         split = [CHUNK.findall(x) for x in some]
-        new = set()
-        for s in split:
-            new.update(s)
-        self.learn([c for c in new if c not in self.cache and c not in self.cache.old])
-        del new
+        self.learn([c for c in set().union(*split) if c not in self.cache and c not in self.cache.old])
         get = self.cache.__getitem__
         out = []
         for s in split:
             found = list(map(get, s))
-            out.append((",".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+            out.append((",".join([f[0] for f in found]), b"".join([f[2] for f in found])))
         for cache in (self.cache, self.words):
             for long in [k for k in cache if len(k) > KEPT_CHARACTERS]:
                 del cache[long]

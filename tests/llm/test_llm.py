@@ -699,3 +699,15 @@ def test_words_are_numbered_like_a_dictionary_does():
     known: dict[bytes, int] = {}
     assert counts.tolist() == [3, 2, 1, 2]
     assert numbers.tolist() == [known.setdefault(w, len(known)) for s in strings for w in s.split(b" ")]
+
+
+def test_words_in_several_queries(monkeypatch):
+    """op1: words of one call in several recursive queries, decoded together; a chunk of one word shares that word's entry."""
+    monkeypatch.setattr(bpe, "WORDS", 7)
+    model = bpe.BpeCodec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    some = ["Xqzzy vwkk xqzzy, blorft" + "ab" * 90, "éété zzyx 中文 grfl 1234 plugh"]
+    for text, (ids, decoded) in zip(some, model.texts(some)):
+        words = [w.encode() for w in model.pattern.findall(text)]
+        assert ids == ",".join(str(i) for w in words for i in ([model.ranks[w]] if w in model.ranks else bpe.heap_merge(w, model.ranks)))
+        assert decoded == text.encode()
+    assert model.cache[" vwkk"] is model.words[" vwkk"]
