@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import BOOLEAN, FLOAT, INTEGER, STRING, UNSIGNED
+from . import keys
 
 #: A float has an exponent if its first digit's decimal exponent is below the one or from the other on.
 LOW_EXPONENT, HIGH_EXPONENT = -4, 6
@@ -61,10 +65,12 @@ def format_float(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else shortest(float(v)))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def format_floats(values: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def format_floats(values: pa.Array) -> pa.Array:
     """The same for arrays of doubles; no array gives none."""
-    return values.map(lambda v: None if v is None else [shortest(float(x)) for x in v])
+    texts = pa.array([None if v is None else shortest(v) for v in values.flatten().to_pylist()], pa.string())
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(values), 0).to_numpy(), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([np.zeros(1, np.int32), ends])), texts, mask=values.is_null())
 
 
 def format_short_decimal(value: Column) -> Column:
@@ -86,8 +92,26 @@ def format_value(field: Column, float_text: Column) -> Column:
     )
 
 
-def encode(measurement: Column, tags: Column, fields: Column, ts_ns: Column) -> Column:
-    """The line with its line feed.  ``fields`` have name and text."""
+#: A series key whose escaped parts are the parts themselves: no backslash, no blank, and one "=" in each tag.
+PLAIN_KEY = r"[^,\\ ]*+(?:,[^,=\\ ]*+=[^,=\\ ]*+)*+"
+
+
+def head(measurement: Column, tags: Column) -> Column:
+    """What stands before the fields: the measurement and its tags."""
     pairs = F.transform(tags, lambda t: F.concat(F.lit(","), escape_tag(t["k"]), F.lit("="), escape_tag(t["v"])))
+    return F.concat(escape_measurement(measurement), F.array_join(pairs, ""))
+
+
+def head_of(series: Column) -> Column:
+    """The same from a series key, which is taken apart only if that changes anything."""
+    return F.when(series.rlike(rf"\A{PLAIN_KEY}\z"), series).otherwise(head(keys.measurement(series), keys.tags(series)))
+
+
+def line(head_: Column, fields: Column, ts_ns: Column) -> Column:
+    """The line with its line feed.  ``fields`` have name and text."""
     values = F.transform(fields, lambda f: F.concat(escape_tag(f["name"]), F.lit("="), f["text"]))
-    return F.concat(escape_measurement(measurement), F.array_join(pairs, ""), F.lit(" "), F.array_join(values, ","), F.lit(" "), ts_ns.cast("string"), F.lit("\n"))
+    return F.concat(head_, F.lit(" "), F.array_join(values, ","), F.lit(" "), ts_ns.cast("string"), F.lit("\n"))
+
+
+def encode(measurement: Column, tags: Column, fields: Column, ts_ns: Column) -> Column:
+    return line(head(measurement, tags), fields, ts_ns)

@@ -8,7 +8,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from pointstream.functions import keys, lineproto
+from pointstream.model import RAW
+from pointstream.operators import rejoin
 from pointstream.plans import formats
 from pointstream.sources import bulk, tsm, values
 
@@ -135,3 +139,28 @@ def test_cuts_a_step_for_each_chunk():
         for _ in range(100):
             sizes, cutter = rng.choice([0, 1, 3, 10, 25, 26, 200], 60), chunking.Cutter(limit)
             assert [*cutter.add_all(sizes[:23]), *cutter.add_all(sizes[23:])] == chunking.cut(sizes.tolist(), limit)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_sort_for_writes_and_points(spark):
+    """tsm_wal_lines: the latest writes and the points need one sort, which compares times first."""
+    plan = _plan(rejoin.points(spark.createDataFrame([], RAW)))
+    assert "Aggregate" not in plan and plan.count("Sort [") == 1 and "Sort [ts_ns" in plan
+
+
+def test_lines_are_written_before_pythons_step(spark):
+    """lines_as_text: only floats that aren't short decimals wait for Python, and no point's fields do."""
+    above, _, below = _plan(rejoin.lines(rejoin.points(spark.createDataFrame([], RAW)))).partition("ArrowEvalPython")
+    assert "array_join" in below.partition("Window")[0]
+
+
+def test_heads_like_those_of_their_parts(spark):
+    """lines_as_text: a plain key stays as it is; others are taken apart."""
+    keys_ = ["m", "m,a=b", "m,a=b,c=d", "", "m,", "m,a", "m,a=b=c", "m,=", "m,a=", "m x,a=b", "m\\,x,a=b", "m,a=b\\ c", "m,a\\=b=c", "m=n,a=b", "m,a=b\n", "m\n,a=b", "é,ü=ö", "m,a=b,,c=d", "m,a=b\\"]
+    rows = spark.createDataFrame([(k,) for k in keys_], "k string")
+    apart = lineproto.head(keys.measurement(F.col("k")), keys.tags(F.col("k")))
+    for r in rows.select("k", lineproto.head_of(F.col("k")).alias("got"), apart.alias("want")).collect():
+        assert r["got"] == r["want"], r["k"]
