@@ -2,7 +2,7 @@
 
 A task opens its files itself, from a folder that all executors see: Spark's own readers leave out names that
 begin with an underscore, as those of logs do.  Column files are read in two steps: tasks that go through the
-indexes alone cut them into ranges of keys with some 64 MB of blocks each, and these ranges are dealt out, so one
+indexes of large ones alone cut them into ranges of keys with some 64 MB of blocks each, and these ranges are dealt out, so one
 large file is the work of many tasks and no task holds more than a block.  Ranges of time and of keys are applied to
 the index, so other blocks aren't read.  Rows leave in Arrow batches with an order that later stages can sort by."""
 
@@ -118,7 +118,7 @@ def read_values(spark: SparkSession, shards: list, start: int = LOWEST, end: int
         for r in rows_of(batches):
             try:
                 with open(r["path"], "rb") as f:
-                    found = list(tsm.ranges(f, start, end, span, split)) if r["src"] == TSM else [tsm.Range(0, f.seek(0, 2), f.tell())]
+                    found = list(tsm.parts(f, start, end, span, split)) if r["src"] == TSM else [tsm.Range(0, f.seek(0, 2), f.tell())]
             except Damaged as e:
                 raise Damaged(f"{r['path']}: {e}") from e
             if found:

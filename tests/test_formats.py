@@ -1,6 +1,7 @@
 """Files of many rows: the writer for whole tables against the plain one, and queries on tables made here."""
 
 import datetime
+import io
 import json
 
 import encoder as E
@@ -164,3 +165,22 @@ def test_heads_like_those_of_their_parts(spark):
     apart = lineproto.head(keys.measurement(F.col("k")), keys.tags(F.col("k")))
     for r in rows.select("k", lineproto.head_of(F.col("k")).alias("got"), apart.alias("want")).collect():
         assert r["got"] == r["want"], r["k"]
+
+
+def test_a_small_files_index_is_gone_through_once():
+    """tsm_key_range: cutting a file smaller than a part reads nothing of its index."""
+    data = bulk.tsm(["m,a=1#!~#", "m,a=2#!~#"], np.asarray([3, 2]), np.arange(5), [("v", 1, np.arange(5))])
+
+    class Counted(io.BytesIO):
+        many = 0
+
+        def read(self, n=-1):
+            found = super().read(n)
+            self.many += len(found)
+            return found
+
+    f = Counted(data)
+    (part,) = tsm.parts(f, 0, 9)
+    assert f.many == 13
+    assert [(k, v.tolist()) for k, _, _, _, v in tsm.read(f, 0, 9, part=part[:2])] == [(k, v.tolist()) for k, _, _, _, v in tsm.read(data, 0, 9)]
+    assert list(tsm.parts(io.BytesIO(data), 0, 9, split=1)) == list(tsm.ranges(io.BytesIO(data), 0, 9, split=1))
