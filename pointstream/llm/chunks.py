@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+from collections.abc import Iterator
+from itertools import compress, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import Generations
 
@@ -20,11 +23,13 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: White space besides blank and line feed, or what other code takes for it.
 OTHER_WHITE = re.compile("[\t\v-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: A run of Latin letters and the punctuation behind: two words by the pattern.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 #: Entries of a cache's generation in a worker, of which there are two, and characters of a chunk in it: an entry has
 #: about 200 bytes, 600 at the most.
-CACHED, KEPT_CHARACTERS = 450_000, 64
+CACHED, KEPT_CHARACTERS = 600_000, 64
+#: New chunks that the tokenizer gets as one text.
+TOGETHER = 2000
+#: Text bytes whose chunks are numbered together.
+PART_BYTES = 12 << 20
 
 
 def vocabulary(name: str) -> str:
@@ -34,6 +39,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def split(texts: list[str]) -> tuple[pa.Array, list[int], np.ndarray]:
+    """All texts' chunks as keys of the cache; the texts' numbers in the order of their chunks; and how many chunks there
+    are before each of these, and in all.
+
+    Nearly all chunks are words behind one blank or one line feed.  Texts where all are come first, split at
+    blanks: "x" stands for " x", "\nx" for itself.  What such a text begins with, and other texts' chunks, get a tab."""
+    plain, others = [], []
+    for k, x in enumerate(texts):
+        if x:
+            uneven = "  " in x or "\n\n" in x or " \n" in x or "\n " in x or x[0] in " \n" or x[-1] in " \n" or OTHER_WHITE.search(x)
+            (others if uneven else plain).append(k)
+    words = pc.split_pattern(pa.array(["\t" + texts[k].replace("\n", " \n") for k in plain], pa.large_string()), " ")
+    chunks = [CHUNK.findall(texts[k]) for k in others]
+    sizes = [0, *pc.list_value_length(words).to_pylist(), *map(len, chunks)]
+    return pa.concat_arrays([words.flatten(), pa.array(["\t" + c for some in chunks for c in some], pa.large_string())]), plain + others, np.cumsum(sizes)
+
+
 class ChunkEncoder:
     """Ids as the tokenizers library gives them, without special tokens: the end marker's own string in a text is ordinary text."""
 
@@ -44,62 +66,60 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache = Generations(most)
-        self.long: list[str] = []  # chunks that leave the cache again after their text
-        # the byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on
-        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        hidden = iter(range(256, 512))
-        self.alphabet = {b: b if b in shown else next(hidden) for b in range(256)}
-
-    def word(self, word: str) -> list[int]:
-        """The model's ids for one word of the pattern."""
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+        # bytes of each token; in the byte-level alphabet a character stands for one
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, k in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.sizes[k] = len(token)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids, as little-endian unsigned 32-bit integers."""
+        """For each text its ids, as little-endian unsigned 32-bit integers.
+
+        Arrow numbers the chunks of all, so only distinct ones are looked up one by one."""
         self.cache.turn()
-        found, get = [], self.cache.__getitem__
-        for text in texts:
-            keys = self.keys(text)
-            try:
-                found.append(b"".join(map(get, keys)))
-            except KeyError:
-                self.learn([k for k in set(keys) if k not in self.cache and k not in self.cache.old])
-                found.append(b"".join(map(get, keys)))
-                for k in self.long:
-                    del self.cache[k]
-                self.long = []
+        chunks, where, ends = split(texts)
+        if not len(chunks):
+            return [b""] * len(texts)
+        numbered = chunks.dictionary_encode()
+        keys = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        entries = list(map(self.cache.get, keys))
+        if missing := [n for n, x in enumerate(entries) if x is None]:
+            unseen = [keys[n] for n in missing]
+            older = list(map(self.cache.old.get, unseen))
+            new = iter(self.learn([k for k, x in zip(unseen, older) if x is None]))
+            for n, x in zip(missing, older):
+                entries[n] = next(new) if x is None else x
+            self.cache.update((keys[n], entries[n]) for n in missing if len(keys[n]) <= KEPT_CHARACTERS)
+        ids = pa.array(entries, pa.large_binary()).take(numbered.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist()
+        data, found = memoryview(ids.buffers()[2] or b""), [b""] * len(texts)
+        for k, a, b in zip(where, at, at[1:]):
+            found[k] = bytes(data[a:b])
         return found
 
-    def keys(self, text: str) -> list[str]:
-        """The cache's keys of a text's chunks.
-
-        Nearly all chunks are words behind one blank or one line feed.  Where all are, the text is split at
-        blanks: "x" stands for " x", "\nx" for itself, and what the text begins with gets a blank.  Chunks of
-        other texts get two blanks."""
-        if not text:
-            return []
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n" or OTHER_WHITE.search(text):
-            return ["  " + c for c in CHUNK.findall(text)]
-        keys = text.replace("\n", " \n").split(" ")
-        keys[0] = " " + keys[0]
-        return keys
-
-    def learn(self, keys: list[str]) -> None:
-        others = []
-        self.long = [k for k in keys if len(k) > KEPT_CHARACTERS]
-        for k in keys:
-            lead, rest = ("", k[2:]) if k.startswith("  ") else ("", k[1:]) if k[0] == " " else ("\n", k[1:]) if k[0] == "\n" else (" ", k)
-            if m := PLAIN.fullmatch(rest):
-                ids = self.word("\n") + self.word(m[1]) if lead == "\n" else self.word(lead + m[1])
-                if m[2]:
-                    ids += self.word(m[2])
-                self.cache[k] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                others.append((k, lead + rest))
-        for at in range(0, len(others), 1000):
-            some = others[at : at + 1000]
-            for (k, _), e in zip(some, self.tokenizer.encode_batch_fast([c for _, c in some], add_special_tokens=False)):
-                self.cache[k] = np.asarray(e.ids, "<u4").tobytes()
+    def learn(self, keys: list[str]) -> list[bytes]:
+        """The ids of each key's chunk."""
+        joined = [k[0] != "\t" and len(k) <= KEPT_CHARACTERS for k in keys]
+        words, others = self.words(compress(keys, joined)), self.others(k for k, x in zip(keys, joined) if not x)
+        return [next(words if x else others) for x in joined]
+
+    def words(self, keys: Iterator[str]) -> Iterator[bytes]:
+        """For chunks of one blank or line feed and characters that aren't white space.
+
+        A text of many has their ids one after the other, and tokens have as many bytes as their chunk."""
+        while some := list(islice(keys, TOGETHER)):
+            text = (" " + " ".join(some)).replace(" \n", "\n")
+            data, ids = np.frombuffer(text.encode(), np.uint8), self.ids([text])[0]
+            starts = np.flatnonzero((data == 32) | (data == 10))
+            before = np.cumsum(self.sizes[ids]) - self.sizes[ids]
+            cuts, raw = [*(4 * np.searchsorted(before, starts)).tolist(), None], ids.tobytes()
+            yield from (raw[a:b] for a, b in zip(cuts, cuts[1:]))
+
+    def others(self, keys: Iterator[str]) -> Iterator[bytes]:
+        while some := list(islice(keys, TOGETHER)):
+            yield from (x.tobytes() for x in self.ids([k[1:] if k[0] == "\t" else k if k[0] == "\n" else " " + k for k in some]))
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _encoders: dict[str, ChunkEncoder] = {}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import encoder
+from .chunks import PART_BYTES, encoder
 from .common import LAST_ID, batch, checkpoint, pack_arrays, parts, relax, relaxing, texts, unpack_arrays
 
 MAGIC = b"TOKHUF02"
@@ -31,6 +31,8 @@ SHARD_DOCS = 2048
 COUNTS = -1
 #: Files whose numbers of ids are summed up together.
 SUMMED = 4096
+#: Ids whose codes are put into the bit stream together.
+TOGETHER = 1 << 15
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -77,21 +79,22 @@ class Code:
         return cls(np.asarray(symbols)[by], np.bincount(lengths, minlength=longest + 1))
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """The bit stream, and the bit offset of each id."""
+        """The bit stream, and the bit offset of each id; ``TOGETHER`` ids at a time, which stay in a processor's cache."""
         size = int(self.symbols.max()) + 1 if len(self.symbols) else 1
-        length_of, code_of = np.zeros(size, np.int64), np.zeros(size, np.uint64)
+        length_of, code_of = np.zeros(size, np.uint8), np.zeros(size, np.uint64)
         length_of[self.symbols], code_of[self.symbols] = self.lengths, self.codes.astype(np.uint64)
-        lengths, codes = length_of[ids], code_of[ids]
-        ends = np.cumsum(lengths)
+        lengths = length_of[ids]
+        ends = np.cumsum(lengths, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         starts = ends - lengths
         words = np.zeros((total + 63) // 64 + 1, np.uint64)
-        if len(ids):
-            word = starts >> 6
-            shift = 64 - (starts & 63) - lengths
+        for at in range(0, len(ids), TOGETHER):
+            own = slice(at, at + TOGETHER)
+            word, codes = starts[own] >> 6, code_of[ids[own]]
+            shift = 64 - (starts[own] & 63) - lengths[own]
             fits = np.where(shift >= 0, codes << np.maximum(shift, 0).astype(np.uint64), codes >> np.maximum(-shift, 0).astype(np.uint64))
             heads = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1])
-            words[word[heads]] = np.bitwise_or.reduceat(fits, heads)
+            words[word[heads]] |= np.bitwise_or.reduceat(fits, heads)
             over = np.flatnonzero(shift < 0)
             words[word[over] + 1] |= codes[over] << (64 + shift[over]).astype(np.uint64)
         return words.astype(">u8").tobytes(), starts
@@ -103,7 +106,7 @@ class Code:
         length = np.zeros(1 << self.longest, np.int64)
         filled = int(self.spans.sum())
         symbol[:filled], length[:filled] = np.repeat(self.symbols, self.spans), np.repeat(self.lengths, self.spans)
-        out, at = np.zeros((len(offsets), block), np.uint32), np.asarray(offsets).astype(np.int64)
+        out, at = np.zeros((block, len(offsets)), np.uint32), np.asarray(offsets).astype(np.int64)  # a step's ids side by side
         last = n - (len(offsets) - 1) * block
         down = np.uint64(64 - self.longest)
         for step in range(block):
@@ -114,9 +117,9 @@ class Code:
             word, bit = at >> 6, (at & 63).astype(np.uint64)
             seen = (words[word] << bit) | ((words[word + 1] >> np.uint64(1)) >> (np.uint64(63) - bit))
             seen >>= down
-            out[: len(at), step] = symbol[seen]
+            out[step, : len(at)] = symbol[seen]
             at = at + length[seen]
-        return out.reshape(-1)[:n]
+        return out.T.reshape(-1)[:n]
 
 
 def to_image(shard: int, docs: np.ndarray, lengths: np.ndarray, ids: np.ndarray, code: Code, block: int = BLOCK_IDS, nameless: int = 0) -> bytes:
@@ -190,7 +193,7 @@ def _tokenised(docs: DataFrame, vocabulary: str, end_id: int, bounds: np.ndarray
                 yield batch(schema, shard=[shard], payload=[pack_arrays(np.asarray([LAST_ID if i is None else i for i in own], "<i8"), none, lengths, narrow)])
 
         end = np.asarray([end_id], "<u4").tobytes()
-        for own, some in parts(batches):
+        for own, some in parts(batches, PART_BYTES):
             found = [x + end for x in model.encode(some)]
             new = np.bincount(np.frombuffer(b"".join(found), "<u4"))
             if len(new) > len(counts):

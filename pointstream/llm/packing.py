@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import encoder
+from .chunks import PART_BYTES, encoder
 from .common import batch, checkpoint, parts, relaxing, texts
 
 CAPACITY = 2048
@@ -31,7 +31,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
 
     def run(batches):
         task, seen, model = TaskContext.get().partitionId(), defaultdict(int), encoder(vocabulary)
-        for ids, some in parts(batches):
+        for ids, some in parts(batches, PART_BYTES):
             rows = []
             for doc, tokens in zip(ids, model.encode(some)):
                 tokens += end

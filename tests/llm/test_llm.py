@@ -103,6 +103,40 @@ def test_chunks_like_the_library(documents):
     assert [np.frombuffer(x, "<u4").tolist() for x in model.encode([x or "" for x in some])] == json_ids(some)
 
 
+def test_new_chunks_reach_the_tokenizer_together(monkeypatch):
+    """op10, op6: many texts' new chunks are a few texts to the tokenizer, and chunks that stand often are looked up once."""
+    model, given = chunks.ChunkEncoder(P.path("byte_bpe_50k.json"), 500), []
+    library = model.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, some, **options):
+            given.append(len(some))
+            return library.encode_batch_fast(some, **options)
+
+    model.tokenizer = Counting()
+    word = lambda: "".join(R.choice("aeéñst\0'1!.,中<|endoftext|>") for _ in range(R.randrange(1, 9)))
+    for _ in range(4):  # the cache turns over
+        some = ["".join(word() + R.choice(" \n") for _ in range(200)) + "x" for _ in range(50)]
+        some += ["", "x", " x", "x  y \n z", "x " + "y" * 100 + " x " + "y" * 100, "\n", "\u3000a\tb\r\n", "a\x1cb c", *some[:3]]
+        given.clear()
+        assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(some)] == json_ids(some)
+        assert len(given) < 20
+        assert all(len(k) <= chunks.KEPT_CHARACTERS for k in model.cache)
+    assert model.encode(["", ""]) == [b"", b""] and model.encode([]) == []
+
+
+def test_huffman_codes_some_ids_at_a_time(monkeypatch):
+    """op10: a stream doesn't depend on how many ids are put into it together."""
+    ids = np.asarray([int(60 * R.random() ** 4) for _ in range(3000)], np.uint32)
+    code = huffman.Code.of(*np.unique(ids, return_counts=True), 12)
+    bits = "".join(format(c, f"0{n}b") for c, n in ((int(code.codes[k]), int(code.lengths[k])) for k in (list(code.symbols).index(i) for i in ids)))
+    for together in (1, 7, 1000, 1 << 15):
+        monkeypatch.setattr(huffman, "TOGETHER", together)
+        stream, starts = code.encode(ids)
+        assert "".join(format(b, "08b") for b in stream).rstrip("0") == bits.rstrip("0")
+        assert code.decode(stream, starts[::64], len(ids), 64).tolist() == ids.tolist()
+
+
 # 2: search
 
 
