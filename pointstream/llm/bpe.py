@@ -3,7 +3,8 @@
 Each task finds its distinct words (matches of the splitting pattern) and hands them to a DuckDB of its
 own: rows (word, position, token) join the merge table, every word contracts its leftmost pair of least
 rank, until no word has a pair left.  Ordered aggregation of the tokens' bytes decodes.  Results stay in a
-bounded cache by chunk of text (see ``chunks``), so a text costs a few look-ups."""
+bounded cache by chunk of text (see ``chunks``), and Arrow numbers the chunks of many texts, so only distinct ones are
+looked up."""
 
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .chunks import CHUNK, KEPT_CHARACTERS
+from .chunks import KEPT_CHARACTERS, chunk, joined, split
 from .common import Generations, batch, parts, relaxing, texts
 
 #: Longer words (in bytes; positions have 8 bits in the query) are contracted outside SQL by the same rule, as a query's steps times its rows grow with the square of the length.
@@ -26,10 +27,10 @@ LONG_WORD = 255
 WORDS = 10_000
 #: Words whose tokens are decoded together.
 DECODED = 50_000
-#: Text bytes whose new words are solved together.
-TOGETHER = 6 << 20
+#: Text bytes whose chunks are numbered, and whose new words are solved, together.
+TOGETHER = 12 << 20
 #: Entries of a generation of each of the two caches in a worker; chunks and words over ``KEPT_CHARACTERS`` don't stay in them.
-KEPT = 200_000
+KEPT = 300_000
 
 ENCODE = """
 WITH RECURSIVE step(it, k, t) AS (
@@ -156,13 +157,21 @@ class BpeCodec:
     def _texts(self, some: list[str]) -> list[tuple[str, bytes]]:
         self.cache.turn()
         self.words.turn()
-        split = [CHUNK.findall(x) for x in some]
-        self.learn([c for c in set().union(*split) if c not in self.cache and c not in self.cache.old])
-        get = self.cache.__getitem__
-        out = []
-        for s in split:
-            found = list(map(get, s))
-            out.append((",".join([f[0] for f in found]), b"".join([f[2] for f in found])))
+        chunks, where, ends = split(some)
+        if not len(chunks):
+            return [("", b"")] * len(some)
+        numbered = chunks.dictionary_encode()
+        keys = [chunk(k) for k in numbered.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        entries = list(map(self.cache.get, keys))
+        if missing := [n for n, x in enumerate(entries) if x is None]:
+            self.learn([k for k in dict.fromkeys([keys[n] for n in missing]) if k not in self.cache.old])
+            for n in missing:
+                entries[n] = self.cache[keys[n]]
+        ids = joined(pa.array(["," + x[0] for x in entries], pa.large_string()).take(numbered.indices), ends)
+        decoded = joined(pa.array([x[2] for x in entries], pa.large_binary()).take(numbered.indices), ends)
+        out = [("", b"")] * len(some)
+        for k, x, y in zip(where, ids, decoded):
+            out[k] = (x[1:].decode("ascii"), y)
         for cache in (self.cache, self.words):
             for long in [k for k in cache if len(k) > KEPT_CHARACTERS]:
                 del cache[long]

@@ -56,6 +56,17 @@ def split(texts: list[str]) -> tuple[pa.Array, list[int], np.ndarray]:
     return pa.concat_arrays([words.flatten(), pa.array(["\t" + c for some in chunks for c in some], pa.large_string())]), plain + others, np.cumsum(sizes)
 
 
+def chunk(key: str) -> str:
+    """What a key of ``split`` stands for."""
+    return key[1:] if key[0] == "\t" else key if key[0] == "\n" else " " + key
+
+
+def joined(values: pa.Array, ends: np.ndarray) -> Iterator[bytes]:
+    """The values (with 64-bit offsets, none null) from each of ``ends`` to the next, one after the other."""
+    at, data = np.frombuffer(values.buffers()[1], np.int64)[values.offset + ends].tolist(), memoryview(values.buffers()[2])
+    return (bytes(data[a:b]) for a, b in zip(at, at[1:]))
+
+
 class ChunkEncoder:
     """Ids as the tokenizers library gives them, without special tokens: the end marker's own string in a text is ordinary text."""
 
@@ -90,17 +101,16 @@ class ChunkEncoder:
                 entries[n] = next(new) if x is None else x
             self.cache.update((keys[n], entries[n]) for n in missing if len(keys[n]) <= KEPT_CHARACTERS)
         ids = pa.array(entries, pa.large_binary()).take(numbered.indices)
-        at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist()
-        data, found = memoryview(ids.buffers()[2] or b""), [b""] * len(texts)
-        for k, a, b in zip(where, at, at[1:]):
-            found[k] = bytes(data[a:b])
+        found = [b""] * len(texts)
+        for k, x in zip(where, joined(ids, ends)):
+            found[k] = x
         return found
 
     def learn(self, keys: list[str]) -> list[bytes]:
         """The ids of each key's chunk."""
-        joined = [k[0] != "\t" and len(k) <= KEPT_CHARACTERS for k in keys]
-        words, others = self.words(compress(keys, joined)), self.others(k for k, x in zip(keys, joined) if not x)
-        return [next(words if x else others) for x in joined]
+        plain = [k[0] != "\t" and len(k) <= KEPT_CHARACTERS for k in keys]
+        words, others = self.words(compress(keys, plain)), self.others(k for k, x in zip(keys, plain) if not x)
+        return [next(words if x else others) for x in plain]
 
     def words(self, keys: Iterator[str]) -> Iterator[bytes]:
         """For chunks of one blank or line feed and characters that aren't white space.
@@ -116,7 +126,7 @@ class ChunkEncoder:
 
     def others(self, keys: Iterator[str]) -> Iterator[bytes]:
         while some := list(islice(keys, TOGETHER)):
-            yield from (x.tobytes() for x in self.ids([k[1:] if k[0] == "\t" else k if k[0] == "\n" else " " + k for k in some]))
+            yield from (x.tobytes() for x in self.ids(list(map(chunk, some))))
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -745,3 +745,29 @@ def test_words_in_several_queries(monkeypatch):
         assert ids == ",".join(str(i) for w in words for i in ([model.ranks[w]] if w in model.ranks else bpe.heap_merge(w, model.ranks)))
         assert decoded == text.encode()
     assert model.cache[" vwkk"] is model.words[" vwkk"]
+
+
+def test_distinct_chunks_are_looked_up_once():
+    """op1: however often a chunk stands in a part, one look-up finds it; results are those of the words one by one."""
+    model, asked = bpe.BpeCodec(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, 40), []
+
+    class Asked(common.Generations):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            asked.append(key)
+            return super().__getitem__(key)
+
+    model.cache = Asked(40)
+    want = lambda x: ",".join(str(i) for w in model.pattern.findall(x) for i in ([model.ranks[w.encode()]] if w.encode() in model.ranks else bpe.heap_merge(w.encode(), model.ranks)))
+    word = lambda: "".join(R.choice("aeéñst0'!,中") for _ in range(R.randrange(1, 7)))
+    for _ in range(3):  # the cache turns over
+        few = [word() for _ in range(30)]
+        some = ["".join(R.choice(few) + R.choice(" \n") for _ in range(300)) + "x" for _ in range(20)]
+        some += ["", "x", " x", "x  x \n x", "\n", "\u3000a\tb\r\n", "x " + "y" * 100 + " x", some[0]]
+        asked.clear()
+        assert model.texts(some) == [(want(x), x.encode()) for x in some]
+        assert len(asked) < 400
+    assert model.texts(["", ""]) == [("", b"")] * 2 and model.texts([]) == []
